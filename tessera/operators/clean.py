@@ -28,7 +28,7 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
         return df.select(*keys).dropDuplicates(keys)
     fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)] + [F.col(c) for c in tail]
     picked = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("__row"))
-    return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in order],
+    return picked.select(*keys, *[F.col(f"__row._o{i}").alias(c) for i, c in enumerate(order)],
                          *[F.col(f"__row.{c}") for c in tail]).select(*df.columns)
 
 
@@ -51,7 +51,8 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "median",
     middle value (the element of rank ceil(n/2) among non-missing values),
     found with a distributed sort (see ``tessera.operators.ids.value_at_rank``);
     ``exact=False`` uses ``percentile_approx`` with ``relative_error``.
-    Output columns keep the input type.  Strategy values are computed by
+    Output columns keep the input type (an integral mean is rounded to the
+    nearest integer).  Strategy values are computed by
     Spark jobs and applied as literals, like a fitted estimator.
     """
     from tessera.operators.ids import value_at_rank
@@ -82,6 +83,9 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "median",
     for c in cols:
         dtype = df.schema[c].dataType
         missing = F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
-        fill = F.lit(fills[c]).cast(dtype) if fills[c] is not None else F.lit(None).cast(dtype)
+        fill = F.lit(fills[c])
+        if isinstance(dtype, T.IntegralType) and strategy == "mean":
+            fill = F.round(fill, 0)                 # nearest integer, not truncation
+        fill = fill.cast(dtype) if fills[c] is not None else F.lit(None).cast(dtype)
         out = out.withColumn(c + suffix, F.when(missing, fill).otherwise(F.col(c)))
     return out

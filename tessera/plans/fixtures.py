@@ -2,7 +2,7 @@
 
 Every derivation is a projection / join of the given parquet tables, so its
 size grows with them.  The DuckDB twins of these derivations live in
-``tessera.plans.oracles`` and must stay in step with this file.
+``tessera.plans.sqlgen`` and must stay in step with this file.
 """
 
 from __future__ import annotations
@@ -142,15 +142,18 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
 def people_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """People shape with NULLs (Name, age, Experience, Salary) from ``lineitem``.
 
-    NULLs are manufactured by rule, identically in the DuckDB oracle.
+    NULLs are manufactured by rule, identically in the DuckDB oracle:
+    line 2 lacks age, line 3 lacks Experience and Salary, line 4 lacks
+    everything but Salary.
     """
     li = table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
     return li.select(
-        F.concat(F.lit("n"), F.col("l_orderkey").cast("string"), F.lit("-"),
-                 F.col("l_linenumber").cast("string")).alias("Name"),
-        F.when(F.col("l_linenumber") != 2, F.col("l_quantity").cast("int")).alias("age"),
-        F.when(F.col("l_linenumber") != 3, (F.col("l_orderkey") % 25).cast("int")).alias("Experience"),
-        F.when(F.col("l_linenumber") != 3, F.col("l_extendedprice")).alias("Salary"),
+        F.when(ln != 4, F.concat(F.lit("n"), F.col("l_orderkey").cast("string"), F.lit("-"),
+                                 ln.cast("string"))).alias("Name"),
+        F.when(~ln.isin(2, 4), F.col("l_quantity").cast("int")).alias("age"),
+        F.when(~ln.isin(3, 4), (F.col("l_orderkey") % 25).cast("int")).alias("Experience"),
+        F.when(ln != 3, F.col("l_extendedprice")).alias("Salary"),
     )
 
 

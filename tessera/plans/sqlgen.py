@@ -132,3 +132,20 @@ def gazetteer_sql() -> str:
   {d(8.0)} + ((n_nationkey * 7907) % 290) / {d(10.0)} AS lat,
   {d(68.0)} + ((n_nationkey * 6133) % 290) / {d(10.0)} AS lon
 FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
+
+PHONE_SQL = """SELECT p_partkey AS id, p_brand AS mobile, p_size AS age, p_retailprice AS ratings,
+  CAST(p_partkey % 20 AS DOUBLE) AS experience FROM part"""
+
+BESTSELLERS_SQL = """SELECT p_partkey AS rank, p_name AS title, p_brand AS author, p_retailprice AS price,
+  p_type AS publisher, p_size AS published_date FROM part"""
+
+PLAYERS_SQL = """SELECT 'p' || CAST(event_id AS VARCHAR) AS name,
+  CAST(trunc(value * 100) AS INTEGER) AS Rating, event_type AS Country FROM events"""
+
+PEOPLE_SQL = """SELECT
+  CASE WHEN l_linenumber <> 4 THEN 'n' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS Name,
+  CASE WHEN l_linenumber NOT IN (2, 4) THEN CAST(trunc(l_quantity) AS INTEGER) END AS age,
+  CASE WHEN l_linenumber NOT IN (3, 4) THEN CAST(l_orderkey % 25 AS INTEGER) END AS Experience,
+  CASE WHEN l_linenumber <> 3 THEN l_extendedprice END AS Salary
+FROM lineitem"""

@@ -62,8 +62,9 @@ def compare(spark, con, key, fn, sql, sf_dir):
         note = f"cols spark={sorted(cols)} oracle={sorted(ocols)}"
     elif not ok_v:
         a, b = canon(cols, rows), canon(ocols, orows)
-        diff = [x for x in a if x not in set(b)][:2]
-        diffb = [x for x in b if x not in set(a)][:2]
+        sa, sb = set(a), set(b)
+        diff = [x for x in a if x not in sb][:2]
+        diffb = [x for x in b if x not in sa][:2]
         note = f"spark-only={diff} oracle-only={diffb}"
     return dict(key=key, ok=ok_cols and ok_n and ok_v, rows=len(rows), orows=len(orows),
                 sec=round(t1 - t0, 2), note=note)
