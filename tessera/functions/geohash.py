@@ -7,8 +7,9 @@ closed form used here picks, per axis, the interval index ``k`` with
 are exact binary fractions, so after a +-1 correction against the edges the
 index equals the bisection result bit for bit.
 
-Characters are assembled from the bits of the two axis indices; longitude
-takes the even bit positions (counted from the most significant bit).
+The two axis indices are bit-interleaved (longitude takes the even bit
+positions counted from the most significant bit) and the interleaved code is
+written in base 32 with the geohash alphabet.
 """
 
 from __future__ import annotations
@@ -71,21 +72,61 @@ def axis_index(x, lo: float, hi: float, bits: int) -> Column:
     return fix_index(x, raw_index(x, lo, hi, bits), lo, hi, bits)
 
 
+# Spark's conv() writes base-32 digits as 0-9 then A-V; translate() maps them
+# onto the geohash alphabet.
+_CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
+# SPREAD8[v]: the 8 bits of v moved to the even bit positions 0, 2, ..., 14.
+SPREAD8 = [sum(((v >> b) & 1) << (2 * b) for b in range(8)) for v in range(256)]
+# COMPACT8[v]: the bits of v at even positions 0, 2, 4, 6 packed into 4 bits.
+COMPACT8 = [sum(((v >> (2 * b)) & 1) << b for b in range(4)) for v in range(256)]
+
+
+def _spread(k: Column, nbits: int) -> Column:
+    table = F.lit(SPREAD8)
+    out = None
+    for byte in range((nbits + 7) // 8):
+        part = F.shiftleft(F.element_at(table, F.shiftright(k, 8 * byte).bitwiseAND(F.lit(255)).cast("int") + 1)
+                           .cast("long"), 16 * byte)
+        out = part if out is None else out.bitwiseOR(part)
+    return out
+
+
+def _compact(m: Column, nbits: int) -> Column:
+    """Inverse of ``_spread``: the even-position bits of ``m`` packed together."""
+    table = F.lit(COMPACT8)
+    out = None
+    for chunk in range((2 * nbits + 7) // 8):
+        part = F.shiftleft(F.element_at(table, F.shiftright(m, 8 * chunk).bitwiseAND(F.lit(255)).cast("int") + 1)
+                           .cast("long"), 4 * chunk)
+        out = part if out is None else out.bitwiseOR(part)
+    return out
+
+
+def _shifts(precision: int) -> tuple[int, int]:
+    """(latitude shift, longitude shift) of the interleaved code: the first
+    (most significant) bit of a geohash is always a longitude bit."""
+    return (1, 0) if (5 * precision) % 2 == 1 else (0, 1)
+
+
 def chars_from_indices(klat, klon, precision: int) -> Column:
-    """Geohash string from the latitude / longitude interval indices."""
+    """Geohash string from the latitude / longitude interval indices.
+
+    The two indices are bit-interleaved with a byte lookup table, and the
+    code is written in base 32 by ``conv`` and mapped to the alphabet: a
+    handful of expressions instead of one per bit, which keeps generated
+    code small.
+    """
     klat, klon = _as_col(klat), _as_col(klon)
     lat_bits, lon_bits = axis_bits(precision)
-    chars = []
-    for c in range(precision):
-        idx = None
-        for j in range(5):
-            i = 5 * c + j
-            src, nbits = (klon, lon_bits) if i % 2 == 0 else (klat, lat_bits)
-            bit = F.shiftright(src, nbits - 1 - i // 2).bitwiseAND(F.lit(1))
-            term = F.shiftleft(bit, 4 - j)
-            idx = term if idx is None else idx + term
-        chars.append(F.substr(F.lit(ALPHABET), idx + F.lit(1), F.lit(1)))
-    return F.concat(*chars)
+    sy, sx = _shifts(precision)
+    code = F.shiftleft(_spread(klat, lat_bits), sy).bitwiseOR(F.shiftleft(_spread(klon, lon_bits), sx))
+    digits = F.lpad(F.conv(code.cast("string"), 10, 32), precision, "0")
+    return F.translate(digits, _CONV_DIGITS, ALPHABET)
+
+
+def _code_from_cell(cell, precision: int) -> Column:
+    digits = F.translate(_as_col(cell), ALPHABET, _CONV_DIGITS)
+    return F.conv(digits, 32, 10).cast("long")
 
 
 def geohash_encode(lat, lon, precision: int = 7) -> Column:
@@ -96,34 +137,21 @@ def geohash_encode(lat, lon, precision: int = 7) -> Column:
     return F.when(valid_point(lat, lon), chars_from_indices(klat, klon, precision))
 
 
-def char_values(cell, precision: int) -> list[Column]:
-    """0..31 value of each character (-1 for a character outside the alphabet)."""
-    cell = _as_col(cell)
-    return [F.instr(F.lit(ALPHABET), F.substr(cell, F.lit(c + 1), F.lit(1))) - F.lit(1)
-            for c in range(precision)]
+def indices_from_cell(cell, precision: int) -> tuple[Column, Column]:
+    """(klat, klon) of a well-formed cell: base-32 code, then de-interleave."""
+    lat_bits, lon_bits = axis_bits(precision)
+    sy, sx = _shifts(precision)
+    code = _code_from_cell(cell, precision)
+    return (_compact(F.shiftright(code, sy), lat_bits).bitwiseAND(F.lit((1 << lat_bits) - 1)),
+            _compact(F.shiftright(code, sx), lon_bits).bitwiseAND(F.lit((1 << lon_bits) - 1)))
 
 
-def indices_from_chars(values: list, precision: int) -> tuple[Column, Column]:
-    """Inverse of ``chars_from_indices``: (klat, klon) from per-character values."""
-    values = [_as_col(v) for v in values]
-    lat_bits, lon_bits = axis_bits(precision)
-    klat = klon = F.lit(0).cast("long")
-    for i in range(5 * precision):
-        bit = F.shiftright(values[i // 5], 4 - i % 5).bitwiseAND(F.lit(1)).cast("long")
-        if i % 2 == 0:
-            klon = klon + F.shiftleft(bit, lon_bits - 1 - i // 2)
-        else:
-            klat = klat + F.shiftleft(bit, lat_bits - 1 - i // 2)
-    return klat, klon
+_CELL_PATTERN = "^[" + ALPHABET + "]{%d}$"
 
 
 def well_formed(cell, precision: int, values: list | None = None) -> Column:
-    cell = _as_col(cell)
-    values = values if values is not None else char_values(cell, precision)
-    ok = F.length(cell) == F.lit(precision)
-    for v in values:
-        ok = ok & (_as_col(v) >= F.lit(0))
-    return ok
+    """Exactly ``precision`` characters, all from the alphabet."""
+    return F.coalesce(_as_col(cell).rlike(_CELL_PATTERN % precision), F.lit(False))
 
 
 def centre(k, lo: float, hi: float, bits: int, digits: int) -> Column:
@@ -142,8 +170,7 @@ def geohash_centre(cell, precision: int = 7, digits: tuple[int, int] | None = No
     """(latitude, longitude) double columns of the rounded cell centre; NULL for a malformed cell."""
     lat_bits, lon_bits = axis_bits(precision)
     dlat, dlon = digits if digits is not None else decode_digits(precision)
-    values = char_values(cell, precision)
-    klat, klon = indices_from_chars(values, precision)
-    ok = well_formed(cell, precision, values)
+    klat, klon = indices_from_cell(cell, precision)
+    ok = well_formed(cell, precision)
     return (F.when(ok, centre(klat, *LAT_RANGE, lat_bits, dlat)),
             F.when(ok, centre(klon, *LON_RANGE, lon_bits, dlon)))

@@ -65,23 +65,20 @@ def with_decoded(df: DataFrame, cell: str, precision: int = 7, lat_out: str = "L
     columns; ``as_float=False`` keeps doubles.
     """
     t = "__ghd_"
-    values = gh.char_values(cell, precision)
-    staged = df
-    for i, v in enumerate(values):
-        staged = staged.withColumn(f"{t}v{i}", v)
-    vcols = [f"{t}v{i}" for i in range(precision)]
-    klat, klon = gh.indices_from_chars(vcols, precision)
+    staged = df.withColumn(t + "ok", gh.well_formed(cell, precision))
+    klat, klon = gh.indices_from_cell(cell, precision)
+    staged = staged.withColumn(t + "ky", klat).withColumn(t + "kx", klon)
     lat_bits, lon_bits = gh.axis_bits(precision)
     dlat, dlon = gh.decode_digits(precision)
-    ok = gh.well_formed(cell, precision, vcols)
+    ok = F.col(t + "ok")
     typ = "float" if as_float else "double"
     staged = (staged
-              .withColumn(lat_out, F.when(ok, gh.centre(klat, *gh.LAT_RANGE, lat_bits, dlat)).cast(typ))
-              .withColumn(lon_out, F.when(ok, gh.centre(klon, *gh.LON_RANGE, lon_bits, dlon)).cast(typ)))
+              .withColumn(lat_out, F.when(ok, gh.centre(t + "ky", *gh.LAT_RANGE, lat_bits, dlat)).cast(typ))
+              .withColumn(lon_out, F.when(ok, gh.centre(t + "kx", *gh.LON_RANGE, lon_bits, dlon)).cast(typ)))
     if array_out:
         staged = staged.withColumn(
             array_out, F.when(F.col(lat_out).isNotNull(), F.array(lat_out, lon_out)))
-    return staged.drop(*vcols)
+    return staged.drop(t + "ok", t + "ky", t + "kx")
 
 
 def with_coordinate_text(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude",
@@ -107,6 +104,57 @@ def drop_invalid_cells(df: DataFrame, lat: str = "Latitude", lon: str = "Longitu
     return df.filter(cond)
 
 
+def _rounded(x: float, digits: int) -> float:
+    """Spark's round(): HALF_UP on the shortest decimal form of the double."""
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
+def edge_free_range(lo: float, hi: float, bits: int, digits: int) -> tuple[float | None, float | None]:
+    """Raw bounds (a, b) with: decoded centre not in {lo, hi}  <=>  a < x <= b.
+
+    Cells whose rounded centre equals an edge value are the first few / last
+    few intervals; interval k holds x with lo + k*step < x <= lo + (k+1)*step
+    (after clamping), so "k strictly between them" is a half-open range of x.
+    ``None`` means no bound on that side.
+    """
+    step = (hi - lo) / (1 << bits)
+    n = 1 << bits
+    k_lo = -1
+    while k_lo + 1 < n and _rounded(lo + (k_lo + 1 + 0.5) * step, digits) + 0.0 == lo:
+        k_lo += 1
+    k_hi = n
+    while k_hi - 1 >= 0 and _rounded(lo + (k_hi - 1 + 0.5) * step, digits) + 0.0 == hi:
+        k_hi -= 1
+    a = None if k_lo < 0 else lo + (k_lo + 1) * step
+    b = None if k_hi >= n else lo + k_hi * step
+    return a, b
+
+
+def valid_cell_condition(lat: str, lon: str, precision: int = 7):
+    """Raw-coordinate form of "decoded centre is not on a pole or the antimeridian".
+
+    Equal to filtering the decoded (rounded) centre against +-90 / +-180, NULL
+    and NaN included (NaN sorts above every number in Spark), but it reads
+    only the raw columns, so Catalyst can push it into the scan.
+    """
+    lat_bits, lon_bits = gh.axis_bits(precision)
+    dlat, dlon = gh.decode_digits(precision)
+    cond = gh.valid_point(lat, lon)
+    for c, (lo, hi), bits, digits in ((lat, gh.LAT_RANGE, lat_bits, dlat), (lon, gh.LON_RANGE, lon_bits, dlon)):
+        a, b = edge_free_range(lo, hi, bits, digits)
+        if a is not None:
+            cond = cond & (F.col(c) > F.lit(a))
+        if b is not None:
+            cond = cond & (F.col(c) <= F.lit(b))
+    return cond
+
+
+def drop_invalid_points(df: DataFrame, lat: str, lon: str, precision: int = 7) -> DataFrame:
+    """``drop_invalid_cells`` evaluated on the raw coordinates (see ``valid_cell_condition``)."""
+    return df.filter(valid_cell_condition(lat, lon, precision))
+
+
 def bounding_box(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude") -> DataFrame:
     """One row: MinLatitude, MaxLatitude, MinLongitude, MaxLongitude."""
     return df.agg(F.min(lat).alias("MinLatitude"), F.max(lat).alias("MaxLatitude"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.timefmt import month_name, parse_event_time
 from tessera.operators.enrich import enrich_left, prepare_assets
-from tessera.operators.geo import drop_invalid_cells, with_coordinate_text, with_geohash
+from tessera.operators.geo import drop_invalid_points, with_coordinate_text, with_geohash
 from tessera.operators.heatmap import exact_key_counts
 
 # Telemetry columns kept by the reference, and its heatmap key.
@@ -23,9 +23,17 @@ HEATMAP_KEYS = ["geohash_7", "geohash_5", "vehicleId", "Latitude", "Longitude",
                 "rashturning", "overspeeding", "harshacceleration", "harshbrake"]
 
 
-def prepare_telemetry(tel: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Project, encode (7 and its 5-prefix), decode the 7-cell centre, parse time, month, text."""
+def prepare_telemetry(tel: DataFrame, extra: list[str] | None = None, valid_only: bool = False) -> DataFrame:
+    """Project, encode (7 and its 5-prefix), decode the 7-cell centre, parse time, month, text.
+
+    ``valid_only`` drops rows whose decoded centre is on a pole or the
+    antimeridian *before* encoding, with the equivalent raw-coordinate range
+    test: the filter then sits on the scan (pushable into parquet) instead of
+    being pushed down through the geohash projections.
+    """
     df = tel.select(*(extra or []), *TELEMETRY_COLUMNS)
+    if valid_only:
+        df = drop_invalid_points(df, "gpsLatitude", "gpslongitude", 7)
     df = with_geohash(df, "gpsLatitude", "gpslongitude", 7, prefixes=(5,),
                       centre=("Latitude", "Longitude"))
     df = df.withColumn("eventDateTime", parse_event_time("eventDateTime"))
@@ -34,15 +42,21 @@ def prepare_telemetry(tel: DataFrame, extra: list[str] | None = None) -> DataFra
 
 
 def enrich_telemetry(tel: DataFrame, assets: DataFrame, extra: list[str] | None = None,
-                     broadcast_max_rows: int | None = None) -> DataFrame:
+                     broadcast_max_rows: int | None = None, valid_only: bool = False) -> DataFrame:
     """Prepared telemetry left-joined with the cleaned, deduplicated asset dimension."""
-    return enrich_left(prepare_telemetry(tel, extra), prepare_assets(assets),
+    return enrich_left(prepare_telemetry(tel, extra, valid_only), prepare_assets(assets),
                        "vehicleId", "asset_number", broadcast_max_rows)
 
 
-def heatmap_table(enriched: DataFrame) -> DataFrame:
-    """Valid cells only, one row per heatmap key, VinCount and the text date."""
-    valid = drop_invalid_cells(enriched, "Latitude", "Longitude")
+def heatmap_table(enriched: DataFrame, already_valid: bool = False) -> DataFrame:
+    """Valid cells only, one row per heatmap key, VinCount and the text date.
+
+    Pass an input enriched with ``valid_only=True`` and ``already_valid=True``
+    so the validity filter runs before encoding (see ``prepare_telemetry``).
+    """
+    # same rows as drop_invalid_cells(enriched, "Latitude", "Longitude"), but
+    # on the raw coordinates
+    valid = enriched if already_valid else drop_invalid_points(enriched, "gpsLatitude", "gpslongitude", 7)
     source = {"LOB": "lob", "PL": "pl", "PPL": "ppl"}
     keyed = valid.select(*[F.col(source.get(c, c)).alias(c) for c in HEATMAP_KEYS])
     out = exact_key_counts(keyed, HEATMAP_KEYS, "vehicleId", "VinCount")

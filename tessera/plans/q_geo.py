@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import coordinate_text
 from tessera.functions.timefmt import month_name, parse_event_time
 from tessera.operators import events as ev
-from tessera.operators.geo import bounding_box, drop_invalid_cells, with_decoded, with_geohash
+from tessera.operators.geo import bounding_box, with_decoded, with_geohash
 from tessera.operators.heatmap import cell_rollup, cell_summary
 from tessera.operators.pipeline import enrich_telemetry, heatmap_table, prepare_telemetry
 from tessera.operators.places import nearest_place
@@ -200,9 +200,14 @@ FROM ({PIPE_ENRICHED_SQL}) e
 WHERE Latitude <> -90 AND Latitude <> 90 AND Longitude <> -180 AND Longitude <> 180"""
 
 
-def _pipeline_enriched(spark, sf, extra=None):
+def _pipeline_enriched(spark, sf, extra=None, valid_only=False):
     tel = fx.telemetry(spark, sf, "wide", invalid_every=97)
-    return enrich_telemetry(tel, fx.asset_dimension(spark, sf), extra=extra)
+    return enrich_telemetry(tel, fx.asset_dimension(spark, sf), extra=extra, valid_only=valid_only)
+
+
+def _heatmap(spark, sf):
+    """G10 output: valid rows filtered on raw coordinates before encoding."""
+    return heatmap_table(_pipeline_enriched(spark, sf, valid_only=True), already_valid=True)
 
 
 def _double_coords(df):
@@ -213,13 +218,12 @@ def _double_coords(df):
 @query("heatmap_pipeline", PIPELINE_SQL)
 def heatmap_pipeline(spark, sf):
     """Full G10 chain; float centres are shown as doubles rounded to 2 places."""
-    return _double_coords(heatmap_table(_pipeline_enriched(spark, sf)))
+    return _double_coords(_heatmap(spark, sf))
 
 
 @query("heatmap_exact_key", f"""SELECT geohash_7, vehicleId, eventDateTime, VinCount FROM ({PIPELINE_SQL}) p""")
 def heatmap_exact_key(spark, sf):
-    return heatmap_table(_pipeline_enriched(spark, sf)).select(
-        "geohash_7", "vehicleId", "eventDateTime", "VinCount")
+    return _heatmap(spark, sf).select("geohash_7", "vehicleId", "eventDateTime", "VinCount")
 
 
 @query("enrich_left_join", f"""SELECT event_id, vehicleId, asset_number, LOB AS lob, State AS state,
@@ -234,8 +238,7 @@ def enrich_left_join(spark, sf):
 WHERE Latitude <> -90 AND Latitude <> 90 AND Longitude <> -180 AND Longitude <> 180""")
 def geo_valid_filter(spark, sf):
     tel = fx.telemetry(spark, sf, "wide", invalid_every=97)
-    df = prepare_telemetry(tel, extra=["event_id"])
-    return drop_invalid_cells(df, "Latitude", "Longitude").select("event_id", "geohash_7")
+    return prepare_telemetry(tel, extra=["event_id"], valid_only=True).select("event_id", "geohash_7")
 
 
 @query("dim_clean_dedup", f"""SELECT asset_number, lob, pl, ppl, Region, State, City, District
@@ -251,7 +254,7 @@ GROUP BY vehicleId HAVING sum(VinCount) > 10"""
 
 @query("vehicles_active", _VEH_SQL)
 def vehicles_active(spark, sf):
-    return ev.vehicle_totals(heatmap_table(_pipeline_enriched(spark, sf)), "vehicleId", "VinCount", 10)
+    return ev.vehicle_totals(_heatmap(spark, sf), "vehicleId", "VinCount", 10)
 
 
 @query("events_active_vehicles", f"""SELECT c.vehicleId, c.event_id, c.event_type, v.totalVinCount
@@ -259,7 +262,7 @@ FROM (SELECT event_id, vehicleId, {_case_sql()} FROM ({PIPE_ENRICHED_SQL}) e) c
 JOIN ({_VEH_SQL}) v ON c.vehicleId = v.vehicleId WHERE c.event_type IS NOT NULL""")
 def events_active_vehicles(spark, sf):
     enriched = _pipeline_enriched(spark, sf, extra=["event_id"])
-    totals = ev.vehicle_totals(heatmap_table(enriched), "vehicleId", "VinCount", 10)
+    totals = ev.vehicle_totals(_heatmap(spark, sf), "vehicleId", "VinCount", 10)
     classified = ev.classify_exclusive(enriched).select("event_id", "vehicleId", "event_type")
     return ev.restrict_to_active(classified, totals).select(
         "vehicleId", "event_id", "event_type", "totalVinCount")
@@ -268,8 +271,7 @@ def events_active_vehicles(spark, sf):
 @query("inner_join_using", f"""SELECT vehicleId, event_id, totalVinCount FROM ({_TEL_WIDE}) t
 JOIN ({_VEH_SQL}) v USING (vehicleId)""")
 def inner_join_using(spark, sf):
-    enriched = _pipeline_enriched(spark, sf)
-    totals = ev.vehicle_totals(heatmap_table(enriched), "vehicleId", "VinCount", 10)
+    totals = ev.vehicle_totals(_heatmap(spark, sf), "vehicleId", "VinCount", 10)
     tel = fx.telemetry(spark, sf, "wide").select("vehicleId", "event_id")
     return tel.join(totals, "vehicleId").select("vehicleId", "event_id", "totalVinCount")
 
@@ -277,7 +279,7 @@ def inner_join_using(spark, sf):
 @query("bounding_box", f"""SELECT min(Latitude) AS MinLatitude, max(Latitude) AS MaxLatitude,
   min(Longitude) AS MinLongitude, max(Longitude) AS MaxLongitude FROM ({PIPELINE_SQL}) p""")
 def bounding_box_q(spark, sf):
-    return bounding_box(_double_coords(heatmap_table(_pipeline_enriched(spark, sf))))
+    return bounding_box(_double_coords(_heatmap(spark, sf)))
 
 
 # ---------------------------------------------------------------- G11 / G12 / J4

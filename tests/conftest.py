@@ -19,7 +19,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.checkpoint.dir", scratch)
-         .config("spark.driver.memory", "8g")
+         .config("spark.driver.memory", "8g").config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -77,7 +77,7 @@ def main():
     keys = sys.argv[2:]
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", "8").config("spark.ui.showConsoleProgress", "false")
-             .config("spark.driver.memory", "8g")
+             .config("spark.driver.memory", "8g").config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
              .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-check-"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
