@@ -50,6 +50,6 @@ def shape_report(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     schema_rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
     meta = spark.createDataFrame(schema_rows, "ordinal int, column_name string, data_type string")
-    n = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    return (meta.join(F.broadcast(n), how="inner")
+    n_rows = df.agg(F.count(F.lit(1))).scalar()          # one value, computed once
+    return (meta.withColumn("n_rows", n_rows)
                 .withColumn("n_columns", F.lit(len(df.columns))))
