@@ -1,0 +1 @@
+"""Registered queries over the driver tables, their DuckDB oracles and input derivations."""

@@ -1,0 +1 @@
+"""Readers and sinks with the guards the reference lacks."""

@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference has no streaming job (no watermark, window of time, state or
+checkpointed query), so this package defines no streaming operator.  The
+row-wise operators (``with_geohash``, ``classify_exclusive``, the text and
+time expressions) are plain projections and filters and therefore accept a
+``readStream`` DataFrame unchanged; ``tests/test_streaming.py`` runs them over
+a parquet stream into a memory sink and compares with the batch result.
+"""
