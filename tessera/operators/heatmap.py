@@ -27,15 +27,18 @@ def exact_key_counts(df: DataFrame, keys: Sequence[str], vehicle: str = "vehicle
 
 
 def cell_summary(df: DataFrame, cell: str = "geohash_7", vehicle: str = "vehicleId",
-                 flags: Sequence[str] = EVENT_FLAGS, extra_keys: Sequence[str] = ()) -> DataFrame:
+                 flags: Sequence[str] = EVENT_FLAGS, extra_keys: Sequence[str] = (),
+                 approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Per cell: rows, distinct vehicles and the total of every event flag.
 
-    Partial aggregation runs map-side; the distinct count is planned as a
-    two-stage aggregate keyed by (cell, vehicle) first, so one hot cell does
-    not funnel its raw rows into one task.
+    Partial aggregation runs map-side; the exact distinct count is planned as
+    a two-stage aggregate keyed by (cell, vehicle) first, so one hot cell does
+    not funnel its raw rows into one task.  ``approx=True`` uses a
+    HyperLogLog++ sketch (``approx_count_distinct``, relative error ``rsd``)
+    instead: one aggregation stage, fixed-size state per cell.
     """
-    aggs = [F.count(F.lit(1)).alias("n_rows"),
-            F.countDistinct(vehicle).alias("n_vehicles")]
+    distinct = F.approx_count_distinct(vehicle, rsd) if approx else F.countDistinct(vehicle)
+    aggs = [F.count(F.lit(1)).alias("n_rows"), distinct.alias("n_vehicles")]
     aggs += [F.sum(F.col(f).cast("long")).alias(f"{f}_total") for f in flags]
     return df.groupBy(cell, *extra_keys).agg(*aggs)
 
