@@ -49,13 +49,14 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "median",
 
     ``strategy`` is median, mean or mode.  The exact median is the lower
     middle value (the element of rank ceil(n/2) among non-missing values),
-    found with a distributed sort (see ``tessera.operators.ids.value_at_rank``);
+    found exactly by ranking only the values inside an approximate-quantile
+    bracket (see ``tessera.operators.ids.value_at_rank_bracketed``);
     ``exact=False`` uses ``percentile_approx`` with ``relative_error``.
     Output columns keep the input type (an integral mean is rounded to the
     nearest integer).  Strategy values are computed by
     Spark jobs and applied as literals, like a fitted estimator.
     """
-    from tessera.operators.ids import value_at_rank
+    from tessera.operators.ids import value_at_rank_bracketed
 
     fills = {}
     for c in cols:
@@ -73,7 +74,7 @@ def impute(df: DataFrame, cols: Sequence[str], strategy: str = "median",
         elif strategy == "median":
             if exact:
                 n = vals.count()
-                fills[c] = value_at_rank(vals, "v", (n + 1) // 2) if n else None
+                fills[c] = value_at_rank_bracketed(vals, "v", (n + 1) // 2, n) if n else None
             else:
                 accuracy = max(1, int(round(1.0 / relative_error)))
                 fills[c] = vals.agg(F.percentile_approx("v", 0.5, accuracy)).first()[0]

@@ -38,11 +38,30 @@ def _place_struct(dist: Column, g, cols: Sequence[str]) -> Column:
 
 def _nearest_broadcast(coords: DataFrame, places: DataFrame, lat: str, lon: str,
                        cols: Sequence[str]) -> DataFrame:
-    arr = places.select(F.collect_list(F.struct(F.col("lat").alias("plat"), F.col("lon").alias("plon"),
-                                                *cols)).alias("a")).scalar()
-    best = F.array_min(F.transform(
-        "__places", lambda g: _place_struct(haversine_km(F.col(lat), F.col(lon), g["plat"], g["plon"]), g, cols)))
-    return coords.select(lat, lon, arr.alias("__places")).select(lat, lon, best.alias("place"))
+    # Per place (once, inside the subquery): latitude / longitude in radians
+    # and cos(latitude).  Per point (once per row): the same.  The lambda that
+    # runs per (point, place) then only evaluates the haversine term h, which
+    # orders places like the distance does; the distance is taken for the
+    # winner only.  Higher-order functions are interpreted, so fewer nodes
+    # in the lambda is what makes this path fast.
+    # sorted by place_id, so the array index breaks distance ties like place_id does
+    arr = places.select(F.array_sort(F.collect_list(F.struct(
+        F.col(cols[0]).alias("k"), F.radians("lat").alias("pr"), F.radians("lon").alias("pl"),
+        F.cos(F.radians("lat")).alias("pc"), *[F.col(c) for c in cols]))).alias("a")).scalar()
+    t = "__nb_"
+    staged = coords.select(lat, lon, arr.alias(t + "places"),
+                           F.radians(lat).alias(t + "r"), F.radians(lon).alias(t + "l"),
+                           F.cos(F.radians(lat)).alias(t + "c"))
+
+    def h(g):
+        return (F.pow(F.sin((g["pr"] - F.col(t + "r")) / 2), 2)
+                + F.col(t + "c") * g["pc"] * F.pow(F.sin((g["pl"] - F.col(t + "l")) / 2), 2))
+    best = F.array_min(F.transform(t + "places", lambda g, i: F.struct(h(g).alias("h"), i.alias("i"))))
+    picked = staged.select(lat, lon, t + "places", best.alias(t + "best"))
+    winner = F.element_at(F.col(t + "places"), F.col(t + "best.i") + 1)
+    dist = F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.sqrt(F.col(t + "best.h")), F.lit(1.0)))
+    return picked.select(lat, lon, F.when(F.col(t + "best").isNotNull(), F.struct(
+        dist.alias("dist_km"), *[winner[c].alias(c) for c in cols])).alias("place"))
 
 
 def _grid_level(coords: DataFrame, places: DataFrame, lat: str, lon: str, cols: Sequence[str],

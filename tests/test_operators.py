@@ -92,6 +92,19 @@ def test_value_at_rank(spark):
     assert [value_at_rank(df, "v", k) for k in range(1, 7)] == [1.0, 2.0, 2.0, 3.0, 4.0, 5.0]
 
 
+def test_bracketed_rank_equals_full_rank(spark):
+    from tessera.operators.ids import value_at_rank_bracketed
+    li = fx.table(spark, SF_SMALL, "lineitem").select(F.col("l_extendedprice").alias("v"))
+    vals = sorted(r.v for r in li.collect())
+    n = len(vals)
+    for k in [1, 2, n // 3, (n + 1) // 2, n - 1, n]:
+        assert value_at_rank_bracketed(li, "v", k, n, relative_error=0.01) == vals[k - 1]
+    skew = spark.createDataFrame([(7.0,)] * 300 + [(float(i),) for i in range(100)], "v double")
+    svals = sorted(r.v for r in skew.collect())
+    for k in [1, 50, 200, 350, 400]:
+        assert value_at_rank_bracketed(skew, "v", k, 400, relative_error=0.01) == svals[k - 1]
+
+
 def test_impute_rejects_strings(spark):
     df = spark.createDataFrame([("1",)], "x string")
     with pytest.raises(TypeError):
