@@ -26,19 +26,26 @@ def lag_lead_rank(df: DataFrame, key: str, order: Sequence[str], value: str,
     """Add ``lag_<value>``, ``lead_<value>`` and ``rank`` over (partition by key order by order)."""
     order = list(order)
     ids = with_sequential_id(df, [key, *order], out="__gid")
-    first = ids.groupBy(key).agg(F.min("__gid").alias("__first"))
-    ties = ids.groupBy(key, *order).agg(F.min("__gid").alias("__tie"))
-    nb = ids.select(F.col("__gid").alias("__nid"), F.col(key).alias("__nkey"), F.col(value).alias("__nval"))
-    prev = nb.select((F.col("__nid") + 1).alias("__gid"), F.col("__nkey").alias("__pkey"),
-                     F.col("__nval").alias("__pval"))
-    nxt = nb.select((F.col("__nid") - 1).alias("__gid"), F.col("__nkey").alias("__xkey"),
-                    F.col("__nval").alias("__xval"))
-    out = (ids.join(prev, "__gid", "left").join(nxt, "__gid", "left")
-              .join(first, key).join(ties, [key, *order]))
-    same_prev = F.col("__pkey").eqNullSafe(F.col(key))
-    same_next = F.col("__xkey").eqNullSafe(F.col(key))
+    # NULL keys and NULL order values form groups too (as in a window), so the
+    # joins back to the per-group tables are null-safe
+    fk, tk = "__fk", [f"__t{i}" for i in range(len(order) + 1)]
+    first = ids.groupBy(key).agg(F.min("__gid").alias("__first")).withColumnRenamed(key, fk)
+    ties = ids.groupBy(key, *order).agg(F.min("__gid").alias("__tie")).toDF(*tk, "__tie")
+    nb = ids.select("__gid", F.col(key).alias("__nkey"), F.col(value).alias("__nval"))
+    prev = nb.select((F.col("__gid") + 1).alias("__gid"), F.col("__nkey").alias("__pkey"),
+                     F.col("__nval").alias("__pval"), F.lit(True).alias("__phit"))
+    nxt = nb.select((F.col("__gid") - 1).alias("__gid"), F.col("__nkey").alias("__xkey"),
+                    F.col("__nval").alias("__xval"), F.lit(True).alias("__xhit"))
+    out = ids.join(prev, "__gid", "left").join(nxt, "__gid", "left")
+    out = out.join(first, out[key].eqNullSafe(first[fk]))
+    cond = out[key].eqNullSafe(ties[tk[0]])
+    for c, t in zip(order, tk[1:]):
+        cond = cond & out[c].eqNullSafe(ties[t])
+    out = out.join(ties, cond)
+    same_prev = F.coalesce(F.col("__phit"), F.lit(False)) & F.col("__pkey").eqNullSafe(out[key])
+    same_next = F.coalesce(F.col("__xhit"), F.lit(False)) & F.col("__xkey").eqNullSafe(out[key])
     return out.select(
-        *df.columns,
+        *[out[c] for c in df.columns],
         F.when(same_prev, F.col("__pval")).alias(f"{prefix}lag_{value}"),
         F.when(same_next, F.col("__xval")).alias(f"{prefix}lead_{value}"),
         (F.col("__tie") - F.col("__first") + 1).cast("int").alias(f"{prefix}rank"))

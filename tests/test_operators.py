@@ -190,6 +190,16 @@ def test_lag_lead_rank_equal_window(spark):
     assert rows(ours, ["event_id", "lag_value", "lead_value", "rank"]) == rows(plain)
 
 
+def test_lag_lead_rank_null_keys_and_order(spark):
+    df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 2.0), ("a", None, 3.0), ("a", 1, 4.0), ("a", None, 5.0)],
+                               "k string, o int, v double")
+    w = Window.partitionBy("k").orderBy("o", "v")
+    plain = df.select("v", F.lag("v").over(w).alias("lag_v"), F.lead("v").over(w).alias("lead_v"),
+                      F.rank().over(Window.partitionBy("k").orderBy("o")).alias("rank"))
+    ours = lag_lead_rank(df, "k", ["o"], "v")
+    assert rows(ours, ["v", "lag_v", "lead_v", "rank"]) == rows(plain)
+
+
 def test_rank_ties_share_rank(spark):
     df = spark.createDataFrame([("a", 1, 1.0), ("a", 1, 2.0), ("a", 2, 3.0), ("b", 5, 4.0)], "k string, o int, v double")
     got = {r.v: r["rank"] for r in lag_lead_rank(df, "k", ["o"], "v").collect()}
