@@ -33,26 +33,30 @@ def with_geohash(df: DataFrame, lat: str, lon: str, precision: int = 7,
     out = out or f"geohash_{precision}"
     lat_bits, lon_bits = gh.axis_bits(precision)
     t = "__gh_"
-    staged = (df
-              .withColumn(t + "ok", gh.valid_point(lat, lon))
-              .withColumn(t + "ky0", gh.raw_index(lat, *gh.LAT_RANGE, lat_bits))
-              .withColumn(t + "kx0", gh.raw_index(lon, *gh.LON_RANGE, lon_bits)))
-    staged = (staged
-              .withColumn(t + "ky", gh.fix_index(lat, t + "ky0", *gh.LAT_RANGE, lat_bits))
-              .withColumn(t + "kx", gh.fix_index(lon, t + "kx0", *gh.LON_RANGE, lon_bits)))
-    staged = staged.withColumn(
-        out, F.when(F.col(t + "ok"), gh.chars_from_indices(t + "ky", t + "kx", precision)))
+    staged = df.withColumns({
+        t + "ok": gh.valid_point(lat, lon),
+        t + "ky0": gh.raw_index(lat, *gh.LAT_RANGE, lat_bits),
+        t + "kx0": gh.raw_index(lon, *gh.LON_RANGE, lon_bits),
+    })
+    staged = staged.withColumns({
+        t + "ky": gh.fix_index(lat, t + "ky0", *gh.LAT_RANGE, lat_bits),
+        t + "kx": gh.fix_index(lon, t + "kx0", *gh.LON_RANGE, lon_bits),
+    })
+    ok = F.col(t + "ok")
+    outputs = {out: F.when(ok, gh.chars_from_indices(t + "ky", t + "kx", precision))}
     if centre:
         dlat, dlon = gh.decode_digits(precision)
         typ = "float" if centre_as_float else "double"
-        ok = F.col(t + "ok")
-        staged = (staged
-                  .withColumn(centre[0], F.when(ok, gh.centre(t + "ky", *gh.LAT_RANGE, lat_bits, dlat)).cast(typ))
-                  .withColumn(centre[1], F.when(ok, gh.centre(t + "kx", *gh.LON_RANGE, lon_bits, dlon)).cast(typ)))
+        outputs[centre[0]] = F.when(ok, gh.centre(t + "ky", *gh.LAT_RANGE, lat_bits, dlat)).cast(typ)
+        outputs[centre[1]] = F.when(ok, gh.centre(t + "kx", *gh.LON_RANGE, lon_bits, dlon)).cast(typ)
+    staged = staged.withColumns(outputs)
+    prefix_cols = {}
     for p in prefixes:
         if p >= precision:
             raise ValueError(f"prefix precision {p} must be below {precision}")
-        staged = staged.withColumn(f"geohash_{p}", F.substring(out, 1, p))
+        prefix_cols[f"geohash_{p}"] = F.substring(out, 1, p)
+    if prefix_cols:
+        staged = staged.withColumns(prefix_cols)
     return staged.drop(*[c for c in staged.columns if c.startswith(t)])
 
 
