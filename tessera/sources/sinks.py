@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.enrich import fits_broadcast
+from tessera.operators.topn import top_n
 
 
 def write_table(df: DataFrame, name: str, path: str, mode: str = "overwrite",
@@ -42,13 +43,14 @@ def write_single_csv(df: DataFrame, path: str, max_rows: int, header: bool = Tru
     df.coalesce(1).write.mode(mode).option("header", str(header).lower()).csv(path)
 
 
-def sample_export(df: DataFrame, path: str, n: int, order: Sequence[str], header: bool = True) -> DataFrame:
+def sample_export(df: DataFrame, path: str, n: int, order: Sequence[str], header: bool = True,
+                  fan_in: int = 16) -> DataFrame:
     """First ``n`` rows in a total ``order`` written as one CSV by Spark (no driver collect).
 
-    The ordered limit runs as a per-partition top-n and a merge of at most
-    ``n`` rows per partition; returns the exported rows.
+    The top n is reduced as a tree (``tessera.operators.topn.top_n``), so no
+    task merges more than fan_in x n rows; the exported rows (at most n) are
+    written through one task and returned.
     """
-    keys = list(order) + [c for c in df.columns if c not in order]
-    sample = df.orderBy(*[F.col(c).asc_nulls_first() for c in keys]).limit(n)
+    sample = top_n(df, n, order, fan_in)
     sample.coalesce(1).write.option("header", str(header).lower()).csv(path)
     return sample

@@ -243,6 +243,16 @@ def test_udf_twins_equal_native(spark):
         assert (r.a, r.c, r.e, r.g) == (r.b, r.d, r.f, r.h)
 
 
+@pytest.mark.parametrize("n", [1, 7, 500, 5000])
+def test_tree_top_n_equals_ordered_limit(spark, n):
+    from tessera.operators.topn import top_n
+    li = fx.table(spark, SF_SMALL, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity") \
+           .repartition(37)
+    ours = top_n(li, n, ["l_orderkey", "l_linenumber"], fan_in=3)
+    plain = li.orderBy("l_orderkey", "l_linenumber", "l_quantity").limit(n)
+    assert ours.collect() == plain.collect()
+
+
 def test_single_csv_guard(spark):
     df = spark.range(20)
     with pytest.raises(ValueError):
