@@ -257,3 +257,36 @@ def test_single_csv_guard(spark):
     df = spark.range(20)
     with pytest.raises(ValueError):
         sinks.write_single_csv(df, scratch_path(spark, "guard"), max_rows=10)
+
+
+def test_drop_null_island_option(spark):
+    from tessera.operators.geo import drop_invalid_cells, with_decoded, with_geohash
+    df = spark.createDataFrame([(0.0, 0.0), (10.0, 10.0), (90.0, 180.0)], "lat double, lon double")
+    enc = with_decoded(with_geohash(df, "lat", "lon", 7), "geohash_7", 7)
+    assert drop_invalid_cells(enc).count() == 2
+    assert rows(drop_invalid_cells(enc, drop_null_island=True, cell="geohash_7"), ["lat"]) == [(10.0,)]
+
+
+def test_impute_mode_and_mean(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,), (None,), (4,)], "x int")
+    mode = impute(df, ["x"], "mode").filter(F.col("x").isNull()).first().x_imputed
+    mean = impute(df, ["x"], "mean").filter(F.col("x").isNull()).first().x_imputed
+    assert mode == 2 and mean == 2          # mean 2.25 rounds to 2, type stays int
+
+
+def test_address_max_km(spark):
+    from tessera.operators.places import with_address
+    places = spark.createDataFrame([(1, "Town", "State", "Dist", 10.0, 10.0)],
+                                   "place_id long, name string, admin1 string, admin2 string, lat double, lon double")
+    pts = spark.createDataFrame([(1, 10.01, 10.0), (2, 40.0, 40.0)], "id int, la double, lo double")
+    got = {r.id: r.address for r in with_address(pts, places, "la", "lo", max_km=50.0).collect()}
+    assert got == {1: "Town, Dist, State", 2: None}
+
+
+def test_write_table_partitioned(spark):
+    ev = fx.table(spark, SF_SMALL, "events").select("event_id", F.to_date("ts").alias("d"))
+    path = scratch_path(spark, "tbl")
+    name = "t_" + path.rsplit("-", 1)[-1]
+    back = sinks.write_table(ev, name, path, partition_by=["d"])
+    assert back.count() == ev.count()
+    assert "d" in back.columns
