@@ -64,7 +64,9 @@ def with_sequential_id(df: DataFrame, order: Sequence, out: str = "id",
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # at least as many range partitions as input partitions, so a task never
+    # holds more than about one input split of rows
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     keys = _sort_keys(df, order, descending)
     t = "__seq_"
     tagged = (df.repartitionByRange(n, *keys)
