@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.timefmt import month_name, parse_event_time
 from tessera.operators.enrich import enrich_left, prepare_assets
-from tessera.operators.geo import drop_invalid_points, with_coordinate_text, with_geohash
+from tessera.functions.text import coordinate_text
+from tessera.operators.geo import drop_invalid_points, with_geohash
 from tessera.operators.heatmap import exact_key_counts
 
 # Telemetry columns kept by the reference, and its heatmap key.
@@ -36,8 +37,8 @@ def prepare_telemetry(tel: DataFrame, extra: list[str] | None = None, valid_only
         df = drop_invalid_points(df, "gpsLatitude", "gpslongitude", 7)
     df = with_geohash(df, "gpsLatitude", "gpslongitude", 7, prefixes=(5,),
                       centre=("Latitude", "Longitude"))
-    df = df.withColumn("eventDateTime", parse_event_time("eventDateTime"))
-    df = with_coordinate_text(df, "Latitude", "Longitude", "coordinates")
+    df = df.withColumns({"eventDateTime": parse_event_time("eventDateTime"),
+                         "coordinates": coordinate_text("Latitude", "Longitude")})
     return df.withColumn("eventMonth", month_name("eventDateTime"))
 
 
