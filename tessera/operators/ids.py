@@ -64,9 +64,10 @@ def with_sequential_id(df: DataFrame, order: Sequence, out: str = "id",
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    # at least as many range partitions as input partitions, so a task never
-    # holds more than about one input split of rows
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    # range partitions: ``partitions`` or the session's shuffle partition count
+    # (size it to the data; df.rdd.getNumPartitions() would run any shuffle
+    # stages of the input once just to learn the count)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _sort_keys(df, order, descending)
     t = "__seq_"
     tagged = (df.repartitionByRange(n, *keys)

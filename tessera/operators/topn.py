@@ -29,7 +29,9 @@ def total_order(df: DataFrame, order: Sequence[str]) -> list:
 def top_n(df: DataFrame, n: int, order: Sequence[str], fan_in: int = 16) -> DataFrame:
     """The first ``n`` rows by ``order`` (ties broken by the other columns)."""
     keys = total_order(df, order)
-    parts = df.rdd.getNumPartitions()          # partition metadata only, no job
+    # partition count: metadata only for a scan-rooted input; an input with
+    # shuffles gets its shuffle stages planned and run once by AQE here
+    parts = df.rdd.getNumPartitions()
     level = df
     while True:
         level = (level.sortWithinPartitions(*keys)

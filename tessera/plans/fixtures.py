@@ -13,16 +13,9 @@ from pyspark.sql import functions as F
 from tessera.operators.events import EVENT_FLAGS
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table ``name``; one read (file listing, footer schema) per session and path."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """The driver table ``name`` (parquet; Catalyst prunes columns and pushes filters)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _flag(modulus: int):

@@ -35,3 +35,22 @@ def test_enrichment_join_is_broadcast_for_small_dimension(spark):
 def test_pipeline_has_no_python(spark):
     plan = executed(entry.queries()["heatmap_pipeline"](spark, SF_SMALL))
     assert "EvalPython" not in plan
+
+
+def test_flagship_aggregates_partially_before_shuffle(spark):
+    plan = executed(entry.queries()["heatmap_cells"](spark, SF_SMALL))
+    assert "partial_count" in plan and "Exchange hashpartitioning" in plan
+    assert "SinglePartition" not in plan
+
+
+def test_dedup_by_key_is_map_side(spark):
+    plan = executed(entry.queries()["dedup_by_key"](spark, SF_SMALL))
+    assert "partial_min" in plan
+
+
+def test_sample_export_has_no_unbounded_merge(spark):
+    from tessera.operators.topn import top_n
+    from tessera.plans import fixtures as fx
+    li = fx.table(spark, SF_SMALL, "lineitem").repartition(40)
+    plan = executed(top_n(li, 10, ["l_orderkey"], fan_in=4))
+    assert "Coalesce" in plan and "TakeOrderedAndProject" in plan
