@@ -62,3 +62,28 @@ def heatmap_table(enriched: DataFrame, already_valid: bool = False) -> DataFrame
     keyed = valid.select(*[F.col(source.get(c, c)).alias(c) for c in HEATMAP_KEYS])
     out = exact_key_counts(keyed, HEATMAP_KEYS, "vehicleId", "VinCount")
     return out.withColumn("eventdate_1", F.col("eventDateTime").cast("string"))
+
+
+# Heatmap keys that come from the telemetry itself (the rest come from the asset).
+TELEMETRY_KEYS = ["geohash_7", "geohash_5", "vehicleId", "Latitude", "Longitude", "eventMonth",
+                  "eventDateTime", "rashturning", "overspeeding", "harshacceleration", "harshbrake"]
+
+
+def heatmap_from_telemetry(tel: DataFrame, assets: DataFrame,
+                           broadcast_max_rows: int | None = None) -> DataFrame:
+    """Same rows as ``heatmap_table(enrich_telemetry(tel, assets, valid_only=True), True)``,
+    with the deduplication moved before the join.
+
+    After ``prepare_assets`` there is at most one asset row per key, so the
+    asset columns are a function of ``vehicleId`` and deduplicating on the
+    telemetry keys first loses nothing; the join then sees one row per
+    distinct telemetry key instead of every event (map-side partial dedup,
+    then a smaller join input).
+    """
+    prepared = prepare_telemetry(tel, valid_only=True).select(*TELEMETRY_KEYS)
+    distinct = prepared.dropDuplicates(TELEMETRY_KEYS)
+    joined = enrich_left(distinct, prepare_assets(assets), "vehicleId", "asset_number", broadcast_max_rows)
+    source = {"LOB": "lob", "PL": "pl", "PPL": "ppl"}
+    keyed = joined.select(*[F.col(source.get(c, c)).alias(c) for c in HEATMAP_KEYS])
+    return (keyed.withColumn("VinCount", F.when(F.col("vehicleId").isNull(), 0).otherwise(1).cast("long"))
+                 .withColumn("eventdate_1", F.col("eventDateTime").cast("string")))

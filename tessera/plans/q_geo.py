@@ -9,7 +9,7 @@ from tessera.functions.timefmt import month_name, parse_event_time
 from tessera.operators import events as ev
 from tessera.operators.geo import bounding_box, with_decoded, with_geohash
 from tessera.operators.heatmap import cell_rollup, cell_summary
-from tessera.operators.pipeline import enrich_telemetry, heatmap_table, prepare_telemetry
+from tessera.operators.pipeline import enrich_telemetry, heatmap_from_telemetry, prepare_telemetry
 from tessera.operators.places import nearest_place
 from tessera.plans import fixtures as fx
 from tessera.plans import sqlgen as sg
@@ -206,8 +206,10 @@ def _pipeline_enriched(spark, sf, extra=None, valid_only=False):
 
 
 def _heatmap(spark, sf):
-    """G10 output: valid rows filtered on raw coordinates before encoding."""
-    return heatmap_table(_pipeline_enriched(spark, sf, valid_only=True), already_valid=True)
+    """G10 output: valid rows filtered on raw coordinates before encoding, and
+    deduplicated on the telemetry keys before the asset join."""
+    tel = fx.telemetry(spark, sf, "wide", invalid_every=97)
+    return heatmap_from_telemetry(tel, fx.asset_dimension(spark, sf))
 
 
 def _double_coords(df):

@@ -290,3 +290,14 @@ def test_write_table_partitioned(spark):
     back = sinks.write_table(ev, name, path, partition_by=["d"])
     assert back.count() == ev.count()
     assert "d" in back.columns
+
+
+
+def test_dedup_before_join_equals_reference_order(spark):
+    from tessera.operators.pipeline import enrich_telemetry, heatmap_from_telemetry, heatmap_table
+    tel = fx.telemetry(spark, SF_SMALL, "city", invalid_every=97)
+    tel = tel.unionByName(tel.filter(F.col("event_id") % 3 == 0))        # duplicate events
+    assets = fx.asset_dimension(spark, SF_SMALL)
+    a = heatmap_from_telemetry(tel, assets)
+    b = heatmap_table(enrich_telemetry(tel, assets))
+    assert rows(a) == rows(b, a.columns)
