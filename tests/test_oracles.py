@@ -29,3 +29,15 @@ def test_entry_runs(spark):
 def test_query_matches_oracle(spark, con, key):
     res = compare(spark, con, key, QUERIES[key], ORACLES.get(key), SF_SMALL)
     assert res["ok"], res
+
+
+_TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_column_types_match_oracle(spark, con, key):
+    df = QUERIES[key](spark, SF_SMALL)
+    ours = {f.name: _TYPE_MAP.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE SELECT * FROM ({ORACLES[key]}) q").fetchall()}
+    assert ours == theirs
