@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.operators.enrich import fits_broadcast
 from tessera.operators.topn import top_n
