@@ -263,9 +263,13 @@ def vehicles_active(spark, sf):
 FROM (SELECT event_id, vehicleId, {_case_sql()} FROM ({PIPE_ENRICHED_SQL}) e) c
 JOIN ({_VEH_SQL}) v ON c.vehicleId = v.vehicleId WHERE c.event_type IS NOT NULL""")
 def events_active_vehicles(spark, sf):
-    enriched = _pipeline_enriched(spark, sf, extra=["event_id"])
+    """Classes restricted to active vehicles.  The reference classifies the
+    enriched rows; the left join with the deduplicated asset table keeps every
+    row once and leaves the flags alone, so classifying the telemetry
+    directly gives the same rows without a second join."""
     totals = ev.vehicle_totals(_heatmap(spark, sf), "vehicleId", "VinCount", 10)
-    classified = ev.classify_exclusive(enriched).select("event_id", "vehicleId", "event_type")
+    tel = fx.telemetry(spark, sf, "wide", invalid_every=97)
+    classified = ev.classify_exclusive(tel).select("event_id", "vehicleId", "event_type")
     return ev.restrict_to_active(classified, totals).select(
         "vehicleId", "event_id", "event_type", "totalVinCount")
 
