@@ -285,7 +285,12 @@ def inner_join_using(spark, sf):
 @query("bounding_box", f"""SELECT min(Latitude) AS MinLatitude, max(Latitude) AS MaxLatitude,
   min(Longitude) AS MinLongitude, max(Longitude) AS MaxLongitude FROM ({PIPELINE_SQL}) p""")
 def bounding_box_q(spark, sf):
-    return bounding_box(_double_coords(_heatmap(spark, sf)))
+    """Bounding box of the heatmap.  min / max do not change under the
+    heatmap's dedup or its row-preserving asset join, so one partial global
+    aggregate over the valid, encoded telemetry suffices (no shuffle of rows)."""
+    tel = fx.telemetry(spark, sf, "wide", invalid_every=97)
+    valid = prepare_telemetry(tel, valid_only=True)
+    return bounding_box(_double_coords(valid))
 
 
 # ---------------------------------------------------------------- G11 / G12 / J4
