@@ -212,6 +212,21 @@ def _heatmap(spark, sf):
     return heatmap_from_telemetry(tel, fx.asset_dimension(spark, sf))
 
 
+def _active_totals(spark, sf):
+    """Per vehicle, the sum of VinCount over the heatmap table, kept when > 10.
+
+    VinCount is 1 per distinct heatmap key (0 for a NULL vehicle) and the
+    asset columns are a function of the vehicle, so the sum is the number of
+    distinct telemetry keys per vehicle: dedup (map-side partial) and count,
+    no asset join needed.
+    """
+    from tessera.operators.pipeline import TELEMETRY_KEYS
+    tel = fx.telemetry(spark, sf, "wide", invalid_every=97)
+    keys = prepare_telemetry(tel, valid_only=True).select(*TELEMETRY_KEYS).dropDuplicates(TELEMETRY_KEYS)
+    counted = keys.withColumn("VinCount", F.when(F.col("vehicleId").isNull(), 0).otherwise(1))
+    return ev.vehicle_totals(counted, "vehicleId", "VinCount", 10)
+
+
 def _double_coords(df):
     return (df.withColumn("Latitude", F.round(F.col("Latitude").cast("double"), 2))
               .withColumn("Longitude", F.round(F.col("Longitude").cast("double"), 2)))
@@ -256,7 +271,7 @@ GROUP BY vehicleId HAVING sum(VinCount) > 10"""
 
 @query("vehicles_active", _VEH_SQL)
 def vehicles_active(spark, sf):
-    return ev.vehicle_totals(_heatmap(spark, sf), "vehicleId", "VinCount", 10)
+    return _active_totals(spark, sf)
 
 
 @query("events_active_vehicles", f"""SELECT c.vehicleId, c.event_id, c.event_type, v.totalVinCount
@@ -267,7 +282,7 @@ def events_active_vehicles(spark, sf):
     enriched rows; the left join with the deduplicated asset table keeps every
     row once and leaves the flags alone, so classifying the telemetry
     directly gives the same rows without a second join."""
-    totals = ev.vehicle_totals(_heatmap(spark, sf), "vehicleId", "VinCount", 10)
+    totals = _active_totals(spark, sf)
     tel = fx.telemetry(spark, sf, "wide", invalid_every=97)
     classified = ev.classify_exclusive(tel).select("event_id", "vehicleId", "event_type")
     return ev.restrict_to_active(classified, totals).select(
@@ -277,7 +292,7 @@ def events_active_vehicles(spark, sf):
 @query("inner_join_using", f"""SELECT vehicleId, event_id, totalVinCount FROM ({_TEL_WIDE}) t
 JOIN ({_VEH_SQL}) v USING (vehicleId)""")
 def inner_join_using(spark, sf):
-    totals = ev.vehicle_totals(_heatmap(spark, sf), "vehicleId", "VinCount", 10)
+    totals = _active_totals(spark, sf)
     tel = fx.telemetry(spark, sf, "wide").select("vehicleId", "event_id")
     return tel.join(totals, "vehicleId").select("vehicleId", "event_id", "totalVinCount")
 
