@@ -31,7 +31,7 @@ SHARD_CHARS = 8 << 20
 MAX_WORDS = 20_000_000
 _TABLE = str.maketrans(UPPER, LOWER)
 _WORD = re.compile(ALNUM_WORD)
-SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long"
+SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long, text_hash long"
 
 
 def _keys(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -109,7 +109,7 @@ def search(texts: list[str | None], bench: Benchmark) -> list[tuple]:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match, text_hash."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("i"), words(ascii_lower(F.col("text")), ALNUM_WORD).alias("w"))
     total = items.agg(F.sum(F.size("w"))).first()[0] or 0
@@ -122,9 +122,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             size = b["text"].map(lambda t: len(t or "") + 1).cumsum().to_numpy()
             for _, part in b.groupby(size // SHARD_CHARS, sort=False):
                 rows = []
-                for doc, (n, hit, names, longest) in zip(part["doc_id"], search(part["text"].tolist(), shared.value), strict=True):
+                for doc, key, (n, hit, names, longest) in zip(part["doc_id"], part["text_hash"], search(part["text"].tolist(), shared.value), strict=True):
                     said = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
-                    rows.append((None if pd.isna(doc) else int(doc), n, hit, len(names), said, hit > 0, longest))
+                    rows.append((None if pd.isna(doc) else int(doc), n, hit, len(names), said, hit > 0, longest, key))
                 yield pd.DataFrame(rows, columns=[x.split()[0] for x in SCHEMA.split(", ")]).astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInPandas(run, SCHEMA)
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of docs that hold no benchmark window."""
+    bad = (contamination(docs, benchmark).where("contaminated").select(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.col("text_hash").alias("t")).distinct())
+    rows = docs.select(F.expr("struct(*)").alias("row"), F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.xxhash64("text").alias("t"))
+    return rows.join(bad, ["id", "t"], "left_anti").select("row.*")

@@ -56,19 +56,20 @@ def repeat_words(tokens: Column) -> Column:
     return let(tokens, lambda w: F.when(F.size(w) <= WINDOW, F.lit(0)).otherwise(of(w)))
 
 
-def quality_rules(docs: DataFrame, max_loss: float = 0.5) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+def quality_rules(docs: DataFrame, max_loss: float = 0.5, whole_row: bool = False) -> DataFrame:
+    """With ``whole_row`` also the input row as struct ``row``.  Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept, n_lines_removed, n_words_removed, cleaned_text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     space = r"[\x20\x09-\x0D]+"
     n_of = lambda t: F.size(F.filter(F.split(t, space), lambda w: w != ""))
-    base = docs.select("doc_id", F.col("text"), words(F.col("text"), SPACE_WORD).alias("_w"),
+    row = ["row"] if whole_row else []
+    base = docs.select(*(F.expr("struct(*)").alias(x) for x in row), "doc_id", F.col("text"), words(F.col("text"), SPACE_WORD).alias("_w"),
                        F.filter(F.split(text, "\n"), lambda x: x.rlike(SPACE_WORD)).alias("_l"),
                        F.split(text, "\n").alias("_all"))
     base = base.select("*", F.filter("_all", lambda x: ~line_fails(x)).alias("_good"), F.size("_w").cast("long").alias("n_words"))
     base = base.select("*", F.when(F.size("_good") == F.size("_all"), F.col("text")).otherwise(F.array_join("_good", "\n")).alias("cleaned_text"))
     out = base.select(
-        "doc_id", "n_words",
+        *row, "doc_id", "n_words",
         F.length(F.regexp_replace(text, space, "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace(text, r"[^#*$%&|<>]", "")).cast("long").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),

@@ -106,16 +106,17 @@ def candidates(docs: DataFrame) -> DataFrame:
     return met.groupBy("doc_id", "_t").agg(F.collect_set("kind").alias("kinds"))
 
 
-def secret_scan(docs: DataFrame) -> DataFrame:
-    """doc_id, text, found: array of (s, e, o, kind) by start, then rule order."""
+def secret_scan(docs: DataFrame, whole_row: bool = False) -> DataFrame:
+    """With ``whole_row`` also the input row as struct ``row``.  Columns: doc_id, text, found: array of (s, e, o, kind) by start, then rule order."""
     cand = candidates(docs).withColumnsRenamed({"doc_id": "_d", "_t": "_h"})
-    left = docs.select("doc_id", "text", F.xxhash64("text").alias("_t"))
+    row = ["row"] if whole_row else []
+    left = docs.select(*(F.expr("struct(*)").alias(x) for x in row), "doc_id", "text", F.xxhash64("text").alias("_t"))
     both = left.join(cand, left.doc_id.eqNullSafe(cand._d) & (left._t == cand._h), "left")
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.expr("cast(array() as array<struct<s:int,e:int,o:int,kind:string>>)")
     per_rule = [(F.when(F.array_contains("kinds", kind), _spans(text, kind, p)).otherwise(none) if trigram_clauses(p) else _spans(text, kind, p))
                 for kind, p in RULES]
-    return both.select("doc_id", "text", F.sort_array(F.concat(*per_rule)).alias("found"))
+    return both.select(*row, "doc_id", "text", F.sort_array(F.concat(*per_rule)).alias("found"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -129,7 +130,7 @@ def digest(found: DataFrame) -> DataFrame:
                         F.sha2(said(base).cast("binary"), 256).alias("base_sha256"), said(F.col("found")).alias("spans"))
 
 
-def redact(found: DataFrame, mark: str = "[SECRET]") -> Column:
+def redact(mark: str = "[SECRET]") -> Column:
     """The text with every span (overlaps joined) replaced by ``mark``."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 

@@ -62,13 +62,13 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+    """doc_id, fp (the 64 bits as a signed long), text_hash."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": fp})
+            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": fp, "text_hash": b["text_hash"]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInPandas(run, "doc_id long, fp long, text_hash long")
 
 
 class Trie:
@@ -173,12 +173,23 @@ def link_classes(classes: DataFrame, max_bits: int = 2) -> DataFrame:
 
 
 def simhash_dedup(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable), class_id, text_hash.
+
+    class_id is component_id, or a stand-in for a component without any id.
+    """
     fps = stored(fingerprints(docs, shingle), "fingerprints")
     # Classes without any id get a node of their own below all ids, turned to null at the end.
     classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("id")).select(
         "fp", "id", F.coalesce("id", F.lit(2**62) + F.abs(F.xxhash64("fp")) % F.lit(2**61)).alias("node")), "classes")
     comp = connected_components(link_classes(classes, max_bits))
     named = classes.join(comp, "node", "left").select("fp", F.coalesce("component", "node").alias("c"))
-    named = named.select("fp", F.when(F.col("c") < 2**62, F.col("c")).alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                                        F.when(F.col("c") < 2**62, F.col("c")).alias("component_id"), F.col("c").alias("class_id"), "text_hash")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """The rows of docs without near-duplicates: of each component the row of smallest id stays, once."""
+    keys = [F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.col("text_hash").alias("t")]
+    first = (simhash_dedup(docs, shingle, max_bits).groupBy("class_id").agg(F.min(F.struct(*keys)).alias("k")).select("k.id", "k.t"))
+    rows = docs.select(F.expr("struct(*)").alias("row"), F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.xxhash64("text").alias("t"))
+    return rows.join(first, ["id", "t"], "left_semi").dropDuplicates(["id", "t"]).select("row.*")
