@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE_WORD, let, words
+from tessera.llm.common import SPACE_WORD, let
 
 NAVIGATION = r"(?i)^\s*(home|menu|next|previous|back|skip to content|sitemap|log ?in|sign ?up|share|search)(\s*[|>/»•]\s*\S+)*\s*$"
 SEPARATORS = r"^\s*\S+(\s+\S+)?(\s*[|»•]\s*\S+(\s+\S+)?){2,}\s*$"
@@ -21,6 +21,21 @@ BOILERPLATE = r"(?i)(lorem ipsum|javascript (is|must be)|enable javascript|use o
 WINDOW = 8
 
 
+# What a text must hold for a line of it to match SEPARATORS or BOILERPLATE.
+HOLDS = ["|", "»", "•", "lorem ipsum", "javascript", "cookie", "privacy policy", "terms of", "newsletter"]
+# A line of mostly signs, or of repeated marks, has a word that begins with a sign or two signs side by side.
+SIGNS = r"(?<!\S)[^\p{L}\p{N}\s]|[^\p{L}\p{N}\s]{2}"
+
+
+def may_fail(text: Column) -> Column:
+    """False only where no line can fail by signs, separators or boilerplate: one look at the whole text."""
+    held = F.lower(text)
+    found = text.rlike(SIGNS)
+    for x in HOLDS:
+        found = found | F.contains(held, F.lit(x))
+    return found
+
+
 def line_fails(line: Column) -> Column:
     """Punctuation (mostly signs, or repeated shouting marks), navigation or boilerplate."""
     chars = F.length(F.regexp_replace(line, r"\s", ""))
@@ -56,6 +71,12 @@ def repeat_words(tokens: Column) -> Column:
     return let(tokens, lambda w: F.when(F.size(w) <= WINDOW, F.lit(0)).otherwise(of(w)))
 
 
+def tokens(text: Column) -> Column:
+    """Words of a text: it is cut at white space, which the ends do not have."""
+    bare = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(bare == "", F.expr("cast(array() as array<string>)")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
+
+
 def quality_rules(docs: DataFrame, max_loss: float = 0.5, whole_row: bool = False) -> DataFrame:
     """With ``whole_row`` also the input row as struct ``row``.  Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept, n_lines_removed, n_words_removed, cleaned_text."""
@@ -63,15 +84,16 @@ def quality_rules(docs: DataFrame, max_loss: float = 0.5, whole_row: bool = Fals
     space = r"[\x20\x09-\x0D]+"
     n_of = lambda t: F.size(F.filter(F.split(t, space), lambda w: w != ""))
     row = ["row"] if whole_row else []
-    base = docs.select(*(F.expr("struct(*)").alias(x) for x in row), "doc_id", F.col("text"), words(F.col("text"), SPACE_WORD).alias("_w"),
+    base = docs.select(*(F.expr("struct(*)").alias(x) for x in row), "doc_id", F.col("text"), tokens(text).alias("_w"),
                        F.filter(F.split(text, "\n"), lambda x: x.rlike(SPACE_WORD)).alias("_l"),
                        F.split(text, "\n").alias("_all"))
-    base = base.select("*", F.filter("_all", lambda x: ~line_fails(x)).alias("_good"), F.size("_w").cast("long").alias("n_words"))
+    base = base.select("*", F.when(may_fail(text), F.filter("_all", lambda x: ~line_fails(x)))
+                       .otherwise(F.filter("_all", lambda x: ~x.rlike(NAVIGATION))).alias("_good"), F.size("_w").cast("long").alias("n_words"))
     base = base.select("*", F.when(F.size("_good") == F.size("_all"), F.col("text")).otherwise(F.array_join("_good", "\n")).alias("cleaned_text"))
     out = base.select(
         *row, "doc_id", "n_words",
         F.length(F.regexp_replace(text, space, "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace(text, r"[^#*$%&|<>]", "")).cast("long").alias("n_symbols"),
+        (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         repeat_words(F.col("_w")).cast("long").alias("n_repeat_words"),
         (F.size("_all") - F.size("_good")).cast("long").alias("n_lines_removed"),
