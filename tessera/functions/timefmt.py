@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,12 +15,17 @@ def _as_col(c) -> Column:
 def parse_event_time(c, pattern: str = "yyyyMMddHHmm") -> Column:
     """Digits such as ``202308231600`` (string or integer) to ``timestamp_ntz``.
 
-    Malformed text gives NULL instead of failing the job (``try_`` parser), and
-    the result is a wall-clock timestamp, so it does not depend on the session
-    time zone.
+    The text is rebuilt as ISO date and time and cast straight to a wall-clock
+    timestamp, so no session zone is involved and hours that a zone skips stay.
+    Text of another length, with other characters or with an impossible date
+    gives NULL.  ``pattern`` may order yyyy, MM, dd, HH, mm, ss freely.
     """
     text = _as_col(c).cast("string")
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+    part = lambda unit, default: F.substring(text, pattern.index(unit) + 1, len(unit)) if unit in pattern else F.lit(default)
+    shape = "".join(r"\d" if ch in "yMdHms" else re.escape(ch) for ch in pattern)
+    day = F.concat_ws("-", part("yyyy", "1970"), part("MM", "01"), part("dd", "01"))
+    time = F.concat_ws(":", part("HH", "00"), part("mm", "00"), part("ss", "00"))
+    return F.when(text.rlike(f"^{shape}$"), F.concat_ws(" ", day, time).try_cast("timestamp_ntz"))
 
 
 def month_name(c) -> Column:

@@ -22,7 +22,7 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    order = list(order or [])
+    order = [c for c in order or [] if c not in keys]
     tail = [c for c in rest if c not in order]
     if not rest:
         return df.select(*keys).dropDuplicates(keys)

@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from tessera.functions.geodist import EARTH_RADIUS_KM, haversine_km
 from tessera.functions.geohash import valid_point
-from tessera.operators.enrich import fits_broadcast
 from tessera.session import ensure_checkpoint_dir
 
 PLACE_COLUMNS = ("place_id", "name", "admin1", "admin2")
@@ -120,18 +119,17 @@ def _nearest_grid(coords: DataFrame, places: DataFrame, lat: str, lon: str,
 
 def nearest_place(points: DataFrame, places: DataFrame, lat: str, lon: str,
                   cols: Sequence[str] = PLACE_COLUMNS, out: str = "place",
-                  broadcast_max_places: int = 5000, method: str | None = None) -> DataFrame:
+                  method: str = "grid") -> DataFrame:
     """Add ``out`` = struct(dist_km, place_id, name, admin1, admin2) of the nearest place.
 
     ``places`` needs ``lat``, ``lon`` and ``cols``.  Ties on distance go to the
     smallest ``place_id``.  Rows with a NULL or NaN coordinate get NULL.
-    ``method`` forces ``"broadcast"`` or ``"grid"``; by default the gazetteer
-    is broadcast only after a row count proves it small.
+    Places without a valid coordinate are never chosen.  The grid is the
+    algorithm at every size; ``"broadcast"`` is the plain form for comparison.
     """
     cols = list(cols)
     coords = points.select(lat, lon).filter(valid_point(lat, lon)).distinct()
-    if method is None:
-        method = "broadcast" if fits_broadcast(places, broadcast_max_places) else "grid"
+    places = places.filter(valid_point("lat", "lon"))
     if method == "broadcast":
         found = _nearest_broadcast(coords, places, lat, lon, cols)
     elif method == "grid":

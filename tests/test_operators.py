@@ -318,3 +318,31 @@ def test_hot_key_is_split_across_range_partitions(spark):
     ranked = lag_lead_rank(df.withColumn("v", F.col("t").cast("double")), "user", ["t"], "v")
     hot_ranks = ranked.filter(F.col("user") == 7).agg(F.min("rank"), F.max("rank")).first()
     assert tuple(hot_ranks) == (1, 15000 + 30)
+
+
+def test_null_place_is_never_nearest(spark):
+    from tessera.operators.places import nearest_place
+    pts = spark.createDataFrame([(1, 10.0, 10.0)], "k int, lat_p double, lon_p double")
+    schema = "place_id int, name string, admin1 string, admin2 string, lat double, lon double"
+    places = spark.createDataFrame([(1, "none", "", "", None, 10.0), (2, "nan", "", "", float("nan"), 10.0), (3, "near", "", "", 11.0, 10.0)], schema)
+    for method in ("grid", "broadcast"):
+        assert nearest_place(pts, places, "lat_p", "lon_p", method=method).first()["place"]["name"] == "near"
+
+
+def test_event_time_ignores_the_session_zone(spark):
+    from tessera.functions.timefmt import parse_event_time
+    df = spark.createDataFrame([("202303120230",), ("bad",), ("202313010000",), (None,)], "t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [r[0] for r in df.select(parse_event_time("t").cast("string")).collect()]
+            assert got == ["2023-03-12 02:30:00", None, None, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_dedup_order_may_name_a_key(spark):
+    from tessera.operators.clean import dedup_by_key
+    df = spark.createDataFrame([(1, 5), (1, 3), (2, 9)], "k int, v int")
+    assert sorted(map(tuple, dedup_by_key(df, ["k"], ["k", "v"]).collect())) == [(1, 3), (2, 9)]
