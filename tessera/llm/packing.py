@@ -26,11 +26,47 @@ from tessera.llm.common import stored
 
 SALTS = 256
 BATCH = 64
+MEMO = 1 << 19  # words whose ids a task remembers
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def tokenized(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFrame:
-    """One row per piece; ids are not kept beyond their checksum."""
+class WordIds:
+    """Token ids of texts, each word encoded once by the tokenizer.
+
+    For a tokenizer that drops white space and takes no token across it, as the
+    default does, a text's ids are those of its parts between blanks, tabs and
+    line ends (other white space stays inside a part and is left to the tokenizer).
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.memo = tokenizer, {"": b""}
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Encode the words in one text; a token is of the word that its first character is in."""
+        e = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
+        ends = np.cumsum([len(w) + 1 for w in fresh])
+        ids, at = np.array(e.ids, "<u4").tobytes(), np.array([x for x, _ in e.offsets], np.int64)
+        last = 0
+        for w, k in zip(fresh, (4 * np.searchsorted(at, ends)).tolist(), strict=True):
+            self.memo[w] = ids[last:k]
+            last = k
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        parts = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        fresh = set().union(*parts).difference(self.memo)
+        if fresh:
+            self._learn(list(fresh))
+        out = [np.frombuffer(b"".join(map(self.memo.__getitem__, p)), "<u4") for p in parts]
+        if len(self.memo) > MEMO:
+            self.memo = {"": b""}
+        return out
+
+
+def tokenized(docs: DataFrame, tokenizer: str, size: int, end_id: int, by_word: bool = True) -> DataFrame:
+    """One row per piece; ids are not kept beyond their checksum.
+
+    ``by_word`` is for tokenizers as in WordIds; without it whole texts are encoded.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
 
@@ -38,11 +74,13 @@ def tokenized(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFr
         from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         t = Tokenizer.from_file(public_tokenizers.path(tokenizer) if "/" not in tokenizer else tokenizer)
+        whole = lambda texts: [np.array(e.ids, "<u4") for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+        encode = WordIds(t) if by_word else whole
         for b in batches:
             for at in range(0, len(b), BATCH):
                 part, rows = b.iloc[at:at + BATCH], []
-                for doc, e in zip(part["doc_id"], t.encode_batch([x or "" for x in part["text"]], add_special_tokens=False), strict=True):
-                    ids = np.array([*e.ids, end_id], "<u4")
+                for doc, own in zip(part["doc_id"], encode(part["text"].tolist()), strict=True):
+                    ids = np.append(own, np.array([end_id], "<u4"))
                     rows += [(None if pd.isna(doc) else int(doc), k, s, len(ids[s:s + size]), zlib.crc32(ids[s:s + size].tobytes()))
                              for k, s in enumerate(range(0, len(ids), size))]
                 yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
@@ -95,11 +133,12 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int,
     return rows
 
 
-def best_fit_pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", size: int = 4096, end_id: int = 1) -> DataFrame:
+def best_fit_pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", size: int = 4096, end_id: int = 1,
+                  by_word: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
     salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).alias("salt")
-    pieces = stored(tokenized(docs, tokenizer, size, end_id), "pieces").select("*", salt)
+    pieces = stored(tokenized(docs, tokenizer, size, end_id, by_word), "pieces").select("*", salt)
     counts = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

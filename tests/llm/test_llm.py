@@ -272,6 +272,18 @@ def test_packing(docs, rows, empty):
     assert packing.best_fit_pack(empty).count() == 0
 
 
+def test_word_ids_equal_whole_text_ids(rows):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    r = random.Random(9)
+    signs = ["a", "B", "'s", "'LL", "e\u0301", "\u0301", " ", "  ", "\n", "\t", "\r", "\u00a0", "\u2028", "\x1c", "\x85", "9", "<|endoftext|>", "<|end", "\u03a3", "\u0130", "\u1100\u1161", "\u65e5", "\U0001f602", "-", ".", ",", "!", ")", "\u0338", "<|startoftext|>", "\x00"]
+    texts = [x[1] for x in rows] + ["".join(r.choice(signs) for _ in range(r.randint(0, 60))) for _ in range(3000)]
+    ids = packing.WordIds(t)
+    for x, got in zip(texts, ids(texts), strict=True):
+        assert got.tolist() == t.encode(x or "", add_special_tokens=False).ids, repr(x)
+
+
 def test_plan_is_best_fit_decreasing():
     r = random.Random(3)
     for _ in range(30):
