@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 ALPHABET = 128
 BLOCK = 1 << 20
+SALTS = 16
 
 
 def _bytes(text: str) -> np.ndarray:
@@ -82,9 +83,12 @@ def identify(docs: DataFrame, per_lang: int = 300, max_bytes: int = 16384) -> Da
     """doc_id, held_out, lang_pred, score."""
     spark = docs.sparkSession
     some = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    picked = (some.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, max_bytes).alias("x"))
-              .withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_lang))
+    # First per (lang, salt): no task gets more than SALTS * per_lang rows of a language in the end.
+    hashed = some.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, max_bytes).alias("x"))
+    hashed = hashed.withColumn("salt", F.pmod(F.xxhash64("h", "x"), F.lit(SALTS)))
+    first = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("h", "doc_id", "x"))
+    few = hashed.withColumn("k", first("lang", "salt")).where(F.col("k") <= per_lang).drop("k")
+    picked = few.withColumn("k", first("lang")).where(F.col("k") <= per_lang)
     model = train([(r["lang"], r["x"]) for r in picked.select("lang", "x").collect()])  # at most per_lang rows a language
     shared = spark.sparkContext.broadcast(model)
 
