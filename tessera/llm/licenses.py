@@ -4,7 +4,8 @@ Rolling word bigrams of each text are joined by hash to the positions of the
 license templates (a fixed list below, so the broadcast side is bounded), hits
 vote for their diagonal (text position minus template position), neighbouring
 diagonals of one template merge, and spans are verified: a base phrase needs
-every bigram on one diagonal, a longer template ``min_share`` of its bigrams.
+every bigram on one diagonal; another template may lack a number of bigrams set
+by its length (``may_lose``), but not the words that tell its license.
 Votes are bit masks, so repeated rows change nothing.  A row is told by
 (doc_id, hash of text); null ids and texts have one result each, null text
 counts as empty.  Only hits are shuffled.
@@ -12,6 +13,8 @@ counts as empty.  Only hits are shuffled.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,40 +22,86 @@ from tessera.llm.common import ALNUM_WORD, ascii_lower, words
 
 # Phrases and the labels they carry.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-MORE = {
-    "licensed under the apache license version 2 0": "apache-2.0",
-    "permission is hereby granted free of charge to any person obtaining a copy": "mit",
-    "redistribution and use in source and binary forms with or without modification": "bsd",
-    "mozilla public license version 2 0": "mpl-2.0",
-    "licensed under the mit license": "mit",
-    "creative commons attribution": "cc",
-}
+# Wordings of the other labels: label, wordings, words of each group of which one must be met (in a shared bigram).
+MORE = [
+    ("mit", [("mit", ), ("license", "licence", "identifier")], [
+        "licensed under the mit license", "under the mit license", "the mit license", "an mit license", "under mit license",
+        "licensed under the mit licence", "under the mit licence", "the mit licence", "spdx license identifier mit"]),
+    ("mit", [("permission", "granted", "obtaining")], [
+        "permission is hereby granted free of charge to any person obtaining a copy",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense"]),
+    ("apache-2.0", [("apache", ), ("0", ), ("license", )], [
+        "licensed under the apache license version 2 0", "under the apache license version 2 0", "the apache license version 2 0", "apache license version 2 0",
+        "under the apache license 2 0", "apache license 2 0", "apache 2 0 license", "spdx license identifier apache 2 0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"]),
+    ("bsd", [("bsd", ), ("license", "licence", "clause")], [
+        "licensed under the bsd license", "under the bsd license", "the bsd license", "a bsd license", "bsd 2 clause", "bsd 3 clause",
+        "the bsd licence", "a bsd licence"]),
+    ("bsd", [("redistribution", "redistributions", "binary")], [
+        "redistribution and use in source and binary forms with or without modification",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"]),
+    ("mpl-2.0", [("mozilla", "mpl"), ("0", )], [
+        "mozilla public license version 2 0", "mozilla public license v 2 0", "mozilla public license 2 0", "mpl 2 0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file"]),
+    ("cc", [("creative", ), ("attribution", )], [
+        "creative commons attribution", "licensed under a creative commons attribution", "under the creative commons attribution"]),
+    ("gpl", [("gnu", ), ("general", ), ("public", )], [
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license "
+        "as published by the free software foundation"]),
+]
+BASE_WORDS = {"cc by": "cc", "general public license": "general", "all rights reserved": "reserved"}
+
+
+def templates() -> list[tuple[str, str, bool, list[tuple[str, ...]]]]:
+    """(template, label, base, word groups); a bit mask holds at most 64 bigrams."""
+    return [(x, label, True, [(BASE_WORDS[x],)]) for x, label in BASE.items()] + [(x, label, False, g) for label, g, t in MORE for x in t]
 
 
 def template_rows(spark) -> DataFrame:
     rows = []
-    for base, phrases in ((True, BASE), (False, MORE)):
-        for phrase, label in phrases.items():
-            w = phrase.split()
-            rows += [(phrase, label, base, len(w) - 1, i, f"{w[i]} {w[i + 1]}") for i in range(len(w) - 1)]
-    t = spark.createDataFrame(rows, "template string, label string, base boolean, n_grams int, tpos int, gram string")
+    for phrase, _, base, _ in templates():
+        w = phrase.split()
+        rows += [(phrase, base, i, f"{w[i]} {w[i + 1]}") for i in range(len(w) - 1)]
+    t = spark.createDataFrame(rows, "template string, base boolean, tpos int, gram string")
     return t.withColumn("h", F.xxhash64("gram"))
 
 
+def may_lose(n_grams: int, min_share: float) -> int:
+    """Bigrams a span may lack: an end word or a word put in from 3 bigrams on, any one word changed from 5 on, a share of the long ones."""
+    return max(0 if n_grams < 3 else 1 if n_grams < 5 else 2, n_grams - math.ceil(min_share * n_grams - 1e-9))
+
+
+def template_rules(spark, min_share: float) -> DataFrame:
+    """template, label, n_grams, lost, needs: a bit mask per word group, of the bigrams that hold one of its words."""
+    rows = []
+    for phrase, label, base, groups in templates():
+        w = phrase.split()
+        pairs = list(zip(w, w[1:]))
+        needs = [sum(1 << i for i, p in enumerate(pairs) if {*p} & {*g}) for g in groups]
+        rows.append((phrase, label, len(pairs), 0 if base else may_lose(len(pairs), min_share), needs))
+    return spark.createDataFrame(rows, "template string, label string, n_grams int, lost int, needs array<long>")
+
+
 def license_scan(docs: DataFrame, min_share: float = 0.8, max_gap: int = 2) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     read = docs.select("doc_id", F.xxhash64("text").alias("_t"), words(ascii_lower(F.col("text")), ALNUM_WORD).alias("_w"))
-    grams = read.select("doc_id", "_t", F.posexplode(F.expr("zip_with(_w, slice(_w, 2, size(_w)), (a, b) -> concat(a, ' ', b))")).alias("pos", "g"))
+    # Every template needs a word of its first group, so a text without any of them has no span.
+    first = sorted({x for *_, groups in templates() for x in groups[0]})
+    held = read.where(F.arrays_overlap("_w", F.array(*map(F.lit, first))))
+    grams = held.select("doc_id", "_t", F.posexplode(F.expr("zip_with(_w, slice(_w, 2, size(_w)), (a, b) -> concat(a, ' ', b))")).alias("pos", "g"))
     hits = (grams.withColumn("h", F.xxhash64("g"))
             .join(F.broadcast(template_rows(docs.sparkSession)), "h").where("g = gram")
-            .select("doc_id", "_t", "template", "label", "base", "n_grams", "tpos", (F.col("pos") - F.col("tpos")).alias("diag")))
-    key = ["doc_id", "_t", "template", "label", "base", "n_grams"]
+            .select("doc_id", "_t", "template", "base", "tpos", (F.col("pos") - F.col("tpos")).alias("diag")))
+    key = ["doc_id", "_t", "template", "base"]
     votes = hits.groupBy(*key, "diag").agg(F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("mask"))
     # Neighbouring diagonals of a longer template (a word put in or left out) vote together.
     near = votes.where("not base").select("*", F.explode(F.sequence(F.col("diag") - max_gap, F.col("diag") + max_gap)).alias("at"))
     merged = near.groupBy(*key, "at").agg(F.bit_or("mask").alias("mask")).withColumnRenamed("at", "diag")
-    spans = votes.where("base").unionByName(merged).withColumn("share", F.bit_count("mask") / F.col("n_grams"))
-    spans = spans.where((F.col("base") & (F.col("share") == 1)) | (~F.col("base") & (F.col("share") >= min_share)))
+    spans = (votes.where("base").unionByName(merged).join(F.broadcast(template_rules(docs.sparkSession, min_share)), "template")
+             .withColumn("share", F.bit_count("mask") / F.col("n_grams"))
+             .where((F.col("n_grams") - F.bit_count("mask") <= F.col("lost")) & F.forall("needs", lambda x: F.col("mask").bitwiseAND(x) != 0)))
     found = spans.groupBy("doc_id", "_t").agg(
         F.count_if("base").alias("n_base"),
         F.min(F.when(F.col("base"), F.col("diag"))).cast("long").alias("first_word"),

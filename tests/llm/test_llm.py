@@ -249,6 +249,24 @@ def test_licenses(docs, rows, empty):
     assert licenses.license_scan(empty).count() == 0
 
 
+def test_license_wordings(spark):
+    body = ("Permission is hereby granted, free of charge, to any individual obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the "
+            "Software without any restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense")
+    cases = [("Released under the MIT License.", "mit"), ("This is available under an MIT License", "mit"), ("It has the MIT licence", "mit"), (body, "mit"),
+             ("Permission is hereby given, free of charge, to any person obtaining a copy", "mit"), ("SPDX-License-Identifier: MIT", "mit"),
+             ("Released under the Apache License, Version 2.0.", "apache-2.0"), ("Licensed under the Apache Software License, Version 2.0", "apache-2.0"), ("Apache License 2.0", "apache-2.0"),
+             ("Redistribution and use in source or binary forms, with or without modification", "bsd"), ("Released under the BSD License", "bsd"), ("the BSD 3-Clause terms", "bsd"),
+             ("the Mozilla Public License, v. 2.0", "mpl-2.0"), ("terms of the Mozilla Public Licence, version 2.0", "mpl-2.0"),
+             ("a Creative Commons Attribution 4.0 work", "cc"), ("under the GNU General Public License as published by the Free Software Foundation", "gpl"),
+             ("This program is free software: you may redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "gpl"),
+             # Not these licenses.
+             ("under the MIT Press", ""), ("under the BSD kernel", ""), ("an Apache 2.0 server", ""), ("licensed under the X11 license", ""), ("Eclipse Public License, version 2.0", ""), ("Licensed under the Apache License, Version 1.1", ""),
+             ("Mozilla Public License, version 1.1", ""), ("permission of any person", ""), ("wir fahren mit License Manager", "")]
+    got = licenses.license_scan(spark.createDataFrame([(i, f"some words {t} more words") for i, (t, _) in enumerate(cases)], "doc_id long, text string"))
+    assert {cases[r.doc_id]: r.labels for r in got.collect()} == {c: c[1] for c in cases}
+    assert all(len(x.split()) <= 64 for x, *_ in licenses.templates())
+
+
 def test_packing(docs, rows, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
