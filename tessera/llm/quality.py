@@ -1,7 +1,7 @@
 """Line-first quality rules, in DataFrame functions only.
 
 Each line is judged by punctuation, navigation and boilerplate rules; failing
-lines go, and a document losing more than ``max_loss`` of its words is rejected.
+lines go (of a long line only the sentence with boilerplate), and a document losing more than ``max_loss`` of its words is rejected.
 Null and empty texts have no words (``base_failed``); repeated rows and rows
 with null ids are judged alike, one result each.  Columns other than ``doc_id``
 and ``text`` are not read, so their names cannot clash.  The work is one
@@ -24,7 +24,11 @@ WINDOW = 8
 # What a text must hold for a line of it to match SEPARATORS or BOILERPLATE.
 HOLDS = ["|", "»", "•", "lorem ipsum", "javascript", "cookie", "privacy policy", "terms of", "newsletter"]
 # A line of mostly signs, or of repeated marks, has a word that begins with a sign or two signs side by side.
-SIGNS = r"(?<!\S)[^\p{L}\p{N}\s]|[^\p{L}\p{N}\s]{2}"
+# Combining marks (vowel signs of many scripts) belong to the letters.
+SIGNS = r"(?<!\S)[^\p{L}\p{M}\p{N}\s]|[^\p{L}\p{M}\p{N}\s]{2}"
+# Boilerplate takes a line of at most SHORT words; of a longer line its sentence of at most LONG words.
+SHORT, LONG = 20, 40
+SENTENCES = r"(?<=[.!?\u2026\u0964\u104B]['\")\]\u201D]?\s{1,9})(?=\S)|(?<=[\u3002\uFF01\uFF1F])(?=\S)"
 
 
 def may_fail(text: Column) -> Column:
@@ -37,13 +41,27 @@ def may_fail(text: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """Punctuation (mostly signs, or repeated shouting marks), navigation or boilerplate."""
+    """Punctuation (mostly signs, or repeated shouting marks) or navigation."""
     chars = F.length(F.regexp_replace(line, r"\s", ""))
-    letters = F.length(F.regexp_replace(line, r"[^\p{L}\p{N}]", ""))
+    letters = F.length(F.regexp_replace(line, r"[^\p{L}\p{M}\p{N}]", ""))
     marks = F.size(F.split(line, r"[!#*$%&|<>=~^?]{2,}")) - 1
     spaces = F.size(F.split(line, r"\s+"))
     punctuation = (chars > 0) & ((letters * 2 < chars) | ((spaces >= 4) & (marks * 2 > spaces)))
-    return punctuation | line.rlike(NAVIGATION) | line.rlike(SEPARATORS) | line.rlike(BOILERPLATE)
+    return punctuation | line.rlike(NAVIGATION) | line.rlike(SEPARATORS)
+
+
+def n_words_of(text: Column) -> Column:
+    return F.size(F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+
+
+def cleaned(line: Column) -> Column:
+    """The line without boilerplate; null where the whole line goes."""
+    def left(x: Column) -> Column:
+        kept = F.filter(F.split(x, SENTENCES), lambda s: ~(s.rlike(BOILERPLATE) & (n_words_of(s) <= LONG)))
+        return let(F.rtrim(F.array_join(kept, "")), lambda k: F.when(k != "", k))
+
+    said = F.when(n_words_of(line) > SHORT, left(line))
+    return F.when(line_fails(line), None).when(line.rlike(BOILERPLATE), said).otherwise(line)
 
 
 def repeat_words(tokens: Column) -> Column:
@@ -82,14 +100,13 @@ def quality_rules(docs: DataFrame, max_loss: float = 0.5, whole_row: bool = Fals
     kept, n_lines_removed, n_words_removed, cleaned_text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     space = r"[\x20\x09-\x0D]+"
-    n_of = lambda t: F.size(F.filter(F.split(t, space), lambda w: w != ""))
     row = ["row"] if whole_row else []
     base = docs.select(*(F.expr("struct(*)").alias(x) for x in row), "doc_id", F.col("text"), tokens(text).alias("_w"),
                        F.filter(F.split(text, "\n"), lambda x: x.rlike(SPACE_WORD)).alias("_l"),
                        F.split(text, "\n").alias("_all"))
-    base = base.select("*", F.when(may_fail(text), F.filter("_all", lambda x: ~line_fails(x)))
+    base = base.select("*", F.when(may_fail(text), F.filter(F.transform("_all", cleaned), lambda x: x.isNotNull()))
                        .otherwise(F.filter("_all", lambda x: ~x.rlike(NAVIGATION))).alias("_good"), F.size("_w").cast("long").alias("n_words"))
-    base = base.select("*", F.when(F.size("_good") == F.size("_all"), F.col("text")).otherwise(F.array_join("_good", "\n")).alias("cleaned_text"))
+    base = base.select("*", F.when(F.col("_good") == F.col("_all"), F.col("text")).otherwise(F.array_join("_good", "\n")).alias("cleaned_text"))
     out = base.select(
         *row, "doc_id", "n_words",
         F.length(F.regexp_replace(text, space, "")).cast("long").alias("word_chars"),
@@ -97,7 +114,7 @@ def quality_rules(docs: DataFrame, max_loss: float = 0.5, whole_row: bool = Fals
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         repeat_words(F.col("_w")).cast("long").alias("n_repeat_words"),
         (F.size("_all") - F.size("_good")).cast("long").alias("n_lines_removed"),
-        F.when(F.size("_good") == F.size("_all"), F.lit(0)).otherwise(F.col("n_words") - n_of(F.col("cleaned_text"))).cast("long").alias("n_words_removed"),
+        F.when(F.col("_good") == F.col("_all"), F.lit(0)).otherwise(F.col("n_words") - n_words_of(F.col("cleaned_text"))).cast("long").alias("n_words_removed"),
         "cleaned_text")
     out = out.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("n_words_removed") <= max_loss * F.col("n_words")))

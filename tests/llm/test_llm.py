@@ -212,6 +212,20 @@ def test_quality_lines(spark):
     assert (r.cleaned_text, r.n_lines_removed, r.kept) == (good, 3, True)
 
 
+def test_quality_scripts_and_long_lines(spark):
+    # A sign of every second character or more is a vowel sign in these; no two lines are alike.
+    hindi = [f"मैंने हिन्दी में की हुई चिट्ठी {i} भी दी थी जी {i}" for i in range(5)]
+    burmese = [f"မြန်မာ ဘာသာ ဖြင့် ရေးသား ထားသော စာကြောင်း {i} ဖြစ်ပါသည်" for i in range(5)]
+    said = [f"Sentence {i} tells of word{i} and thing{i} in the town." for i in range(30)]
+    article = " ".join([*said[:10], "Our privacy policy is in force.", *said[10:]])
+    bare = " ".join(f"item{i}" for i in range(60)) + " privacy policy " + " ".join(f"part{i}" for i in range(60))
+    texts = ["\n".join(hindi), "\n".join(burmese), article, bare, " ".join(said) + "\nRead the cookie policy. All of it"]
+    want = [texts[0], texts[1], " ".join(said), bare, " ".join(said)]
+    got = quality.quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.cleaned_text for r in got] == want
+    assert [(r.kept, r.n_lines_removed, r.n_words_removed) for r in got] == [(True, 0, 0), (True, 0, 0), (True, 0, 6), (True, 0, 0), (True, 1, 7)]
+
+
 def test_decontamination(spark, docs, rows, empty):
     items = [(1, rows[0][1][:400]), (2, rows[5][1]), (10, "two words"), (3, "one"), (4, None), (5, ""), (6, "never seen " * 9), (7, " ".join((rows[57][1] or "").split()[3:30]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
