@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import SPACE_WORD, let
 
-NAVIGATION = r"(?i)^\s*(home|menu|next|previous|back|skip to content|sitemap|log ?in|sign ?up|share|search)(\s*[|>/»•]\s*\S+)*\s*$"
-SEPARATORS = r"^\s*\S+(\s+\S+)?(\s*[|»•]\s*\S+(\s+\S+)?){2,}\s*$"
+# No group is repeated in these: java.util.regex matches such groups by recursion, which a long line overflows.
+NAVIGATION = r"(?i)^\s*(home|menu|next|previous|back|skip to content|sitemap|log ?in|sign ?up|share|search)\s*([|>/»•]|$)"
 BOILERPLATE = r"(?i)(lorem ipsum|javascript (is|must be)|enable javascript|use of cookies|uses cookies|cookie policy|privacy policy|terms of (use|service)|subscribe to our newsletter)"
 WINDOW = 8
 
 
-# What a text must hold for a line of it to match SEPARATORS or BOILERPLATE.
+# What a text must hold for a line of it to be separators() or to match BOILERPLATE.
 HOLDS = ["|", "»", "•", "lorem ipsum", "javascript", "cookie", "privacy policy", "terms of", "newsletter"]
 # A line of mostly signs, or of repeated marks, has a word that begins with a sign or two signs side by side.
 # Combining marks (vowel signs of many scripts) belong to the letters.
@@ -40,6 +40,26 @@ def may_fail(text: Column) -> Column:
     return found
 
 
+def parts(line: Column, marks: str) -> Column:
+    return F.transform(F.split(line, marks), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
+
+
+def navigation(line: Column) -> Column:
+    """A navigation word, alone or with a tail of single words between marks."""
+    def tail(p: Column) -> Column:
+        return F.forall(F.slice(p, 2, F.size(p)), lambda x: ~x.rlike(r"\s")) & ((F.size(p) == 1) | (F.element_at(p, -1) != ""))
+
+    return F.when(line.rlike(NAVIGATION), let(parts(line, "[|>/»•]"), tail)).otherwise(F.lit(False))
+
+
+def separators(line: Column) -> Column:
+    """Three or more parts of one or two words between marks."""
+    def short(p: Column) -> Column:
+        return (F.size(F.filter(p, lambda x: x != "")) >= 3) & F.forall(p, lambda x: F.size(F.split(x, r"\s+")) <= 2)
+
+    return F.when(line.rlike("[|»•]"), let(parts(line, "[|»•]"), short)).otherwise(F.lit(False))
+
+
 def line_fails(line: Column) -> Column:
     """Punctuation (mostly signs, or repeated shouting marks) or navigation."""
     chars = F.length(F.regexp_replace(line, r"\s", ""))
@@ -47,7 +67,7 @@ def line_fails(line: Column) -> Column:
     marks = F.size(F.split(line, r"[!#*$%&|<>=~^?]{2,}")) - 1
     spaces = F.size(F.split(line, r"\s+"))
     punctuation = (chars > 0) & ((letters * 2 < chars) | ((spaces >= 4) & (marks * 2 > spaces)))
-    return punctuation | line.rlike(NAVIGATION) | line.rlike(SEPARATORS)
+    return punctuation | navigation(line) | separators(line)
 
 
 def n_words_of(text: Column) -> Column:
@@ -105,7 +125,7 @@ def quality_rules(docs: DataFrame, max_loss: float = 0.5, whole_row: bool = Fals
                        F.filter(F.split(text, "\n"), lambda x: x.rlike(SPACE_WORD)).alias("_l"),
                        F.split(text, "\n").alias("_all"))
     base = base.select("*", F.when(may_fail(text), F.filter(F.transform("_all", cleaned), lambda x: x.isNotNull()))
-                       .otherwise(F.filter("_all", lambda x: ~x.rlike(NAVIGATION))).alias("_good"), F.size("_w").cast("long").alias("n_words"))
+                       .otherwise(F.filter("_all", lambda x: ~navigation(x))).alias("_good"), F.size("_w").cast("long").alias("n_words"))
     base = base.select("*", F.when(F.col("_good") == F.col("_all"), F.col("text")).otherwise(F.array_join("_good", "\n")).alias("cleaned_text"))
     out = base.select(
         *row, "doc_id", "n_words",

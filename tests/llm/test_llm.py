@@ -214,7 +214,7 @@ def test_quality_lines(spark):
 
 def test_quality_scripts_and_long_lines(spark):
     # A sign of every second character or more is a vowel sign in these; no two lines are alike.
-    hindi = [f"मैंने हिन्दी में की हुई चिट्ठी {i} भी दी थी जी {i}" for i in range(5)]
+    hindi = [f"मैंने हिन्दी में की {i} चिट्ठी भी पढ़ूँ" for i in range(5)]
     burmese = [f"မြန်မာ ဘာသာ ဖြင့် ရေးသား ထားသော စာကြောင်း {i} ဖြစ်ပါသည်" for i in range(5)]
     said = [f"Sentence {i} tells of word{i} and thing{i} in the town." for i in range(30)]
     article = " ".join([*said[:10], "Our privacy policy is in force.", *said[10:]])
@@ -226,6 +226,17 @@ def test_quality_scripts_and_long_lines(spark):
     assert [(r.kept, r.n_lines_removed, r.n_words_removed) for r in got] == [(True, 0, 0), (True, 0, 0), (True, 0, 6), (True, 0, 0), (True, 1, 7)]
 
 
+def test_quality_very_long_lines(spark):
+    good = " ".join(f"word{i}" for i in range(250_000)) + "."
+    cells = [" | ".join(["cell"] * 100_000), "home" + " > page" * 100_000, "Next", "a b | c d | e", "Home/docs/x"]
+    stay = ["one | two", "if a || b", "Next »", "three words here | a | b", "home is | where", "home > two words"]
+    df = spark.createDataFrame([(1, "\n".join([good, *cells, *stay]))], "doc_id long, text string")
+    # 250,000 words are said, 400,000 and more go with the cells.
+    r = quality.quality_rules(df, max_loss=1.0).first()
+    assert r.cleaned_text == "\n".join([good, *stay])
+    assert r.n_lines_removed == len(cells)
+
+
 def test_decontamination(spark, docs, rows, empty):
     items = [(1, rows[0][1][:400]), (2, rows[5][1]), (10, "two words"), (3, "one"), (4, None), (5, ""), (6, "never seen " * 9), (7, " ".join((rows[57][1] or "").split()[3:30]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
