@@ -20,13 +20,21 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import let
 
+# A private key: header, body and END line; without END the lines of base64 after the header (and after its "Name-Part: value" lines).
+# Groups are repeated possessively, which java.util.regex does in a loop, so long texts do not overflow the stack.
+_HEAD, _END = "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----END [A-Z ]*PRIVATE KEY-----"
+_TO_END = r"[^-]*+(?:-{1,4}[^-]++)*+" + _END
+_FIELDS = r"(?:\s*\n[A-Z][A-Za-z]*-[A-Za-z]+: [^\r\n]*+)*+"
+_LINES = r"(?:[\s\\>\"',#*]*+[A-Za-z0-9+/]{16,}+={0,2})*+(?:\s*\n[>\x20\t]*[A-Za-z0-9+/]+={0,2}(?=[\r\n\"']|$)|[\s\\]*+[A-Za-z0-9+/]++={1,2})?"
+PRIVATE = f"{_HEAD}(?:{_TO_END}|{_FIELDS}{_LINES})"
+
 # Kind, expression, condition on a match m.  The first three are the base.
 RULES = [
     ("assign", r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"),
     ("access", r"AKIA[A-Z0-9]+"),
     ("hex", r"[0-9a-f]{24,}"),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    ("private", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    ("private", PRIVATE),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 ]
 BASE = ("assign", "access", "hex")
