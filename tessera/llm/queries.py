@@ -67,7 +67,7 @@ def op3_language(spark, sf_dir):
 
 @query
 def op5_decontaminate(spark, sf_dir):
-    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), with_matches=True)
 
 
 @query

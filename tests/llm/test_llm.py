@@ -258,6 +258,33 @@ def test_decontamination(spark, docs, rows, empty):
     assert decontaminate.without_contaminated(docs, bench).count() == sum(not x[-1] for x in want)
 
 
+def test_longest_matches_follow_one_item(spark, monkeypatch):
+    r = random.Random(6)
+    a, b = ([f"{x}{i}" for i in range(n)] for x, n in (("a", 30), ("b", 25)))
+    items = [("1", " ".join(a)), ("2", " ".join(b)), ("3", " ".join(a[20:] + b[:15])), ("4", "short one"), ("5", "x " * 14), ("6", " ".join(a)), ("6", " ".join(a)), (None, " ".join(b[5:])), ("7", "")]
+    texts = [" ".join(["pre", *a[3:18], *b[2:20], "post"]), " ".join(a + b), " ".join(a[:20] + a[5:]), "a short one short one", "x " * 40, " ".join(a[:9] + b[:9]), None, "",
+             " ".join(a[:12] + ["gap"] + a[13:])]
+    texts += [" ".join(r.choice(("x", "x", "x", "x", "x", "x", "y")) for _ in range(60)) for _ in range(5)]
+    want = {}
+    for d, t in enumerate(texts):
+        w, found = (t or "").split(), set()
+        for name, v in ((n or "null", x.split()) for n, x in items):
+            for i in range(len(v)):
+                for k in range(len(w)):
+                    if w[k] == v[i] and (i == 0 or k == 0 or w[k - 1] != v[i - 1]):
+                        n = next((n for n in range(len(v)) if i + n == len(v) or k + n == len(w) or v[i + n] != w[k + n]), len(v))
+                        found |= {(name, i, k, n)} if n >= min(10, len(v)) else set()
+        want[d] = found
+    df, bench = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    for pairs in (1 << 20, 3):
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        got = decontaminate.contamination(df, bench, with_matches=True).collect()
+        assert {x.doc_id: {tuple(m) for m in x.matches} for x in got} == want
+        assert all(len(x.matches) == len(want[x.doc_id]) and x.longest_match == max((m[3] for m in want[x.doc_id]), default=0) for x in got)
+    # Two items side by side are not one match.
+    assert next(x for x in got if x.doc_id == 0).longest_match == 18
+
+
 def test_licenses(docs, rows, empty):
     got = licenses.license_scan(docs).collect()
     want = []
