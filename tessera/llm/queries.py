@@ -9,6 +9,7 @@ from tessera.llm import (
     licenses,
     packing,
     quality,
+    resampling,
     secret_scan,
     simhash,
     suffix_dedup,
@@ -73,3 +74,8 @@ def op5_decontaminate(spark, sf_dir):
 @query
 def op8_toxicity(spark, sf_dir):
     return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_resampling(spark, sf_dir):
+    return resampling.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
