@@ -7,8 +7,8 @@ rows of each digit go; a row's new position is that place plus its rank among
 the block's rows of its digit.  Passes are stable, so after the last one the
 positions are the ranks of the whole key.
 
-Blocks hold at most ``2**BLOCK_BITS`` rows however often a key repeats.  The
-leading bits that all rows of a column share need no pass.  Each pass reads the
+Blocks hold at most ``2**BLOCK_BITS`` rows however often a key repeats.  Digits
+beyond the spread of a column's values need no pass.  Each pass reads the
 written result of the one before, so a lost executor repeats one pass only.
 
 Nulls of a key column come after its values; equal keys get different ranks, in
@@ -27,10 +27,15 @@ BLOCK_BITS = 15
 SIGN = -(1 << 63)
 
 
-def _unsigned(column: str, descending: bool) -> Column:
-    """The long's bits in an order that unsigned comparison follows; nulls as 0 (their own pass orders them)."""
+def _offset(column: str, descending: bool, lo: int, hi: int) -> tuple[Column, int]:
+    """The column as bits in an order that unsigned comparison follows, and how many of them differ.
+
+    Nulls stand as 0: a pass of their own puts them last.
+    """
     value = F.coalesce(F.col(column).cast("long"), F.lit(0))
-    return (F.bitwise_not(value) if descending else value).bitwiseXOR(F.lit(SIGN))
+    if hi - lo < 1 << 63:
+        return (F.lit(hi) - value if descending else value - F.lit(lo)), (hi - lo).bit_length()
+    return (F.bitwise_not(value) if descending else value).bitwiseXOR(F.lit(SIGN)), 64
 
 
 def _digits(rows: DataFrame, keys: list[tuple[str, bool]]) -> list[Column]:
@@ -40,9 +45,9 @@ def _digits(rows: DataFrame, keys: list[tuple[str, bool]]) -> list[Column]:
                       *(F.count_if(F.col(c).isNull()).alias(f"null{i}") for i, (c, _) in enumerate(keys))).first()
     out: list[Column] = []
     for i, (column, descending) in reversed(list(enumerate(keys))):
-        bits = ((spread[f"lo{i}"] or 0) ^ (spread[f"hi{i}"] or 0)) & (2 ** 64 - 1)
-        out += [F.shiftrightunsigned(_unsigned(column, descending), at).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)).cast("int")
-                for at in range(0, bits.bit_length(), DIGIT_BITS)]
+        value, bits = _offset(column, descending, spread[f"lo{i}"] or 0, spread[f"hi{i}"] or 0)
+        out += [F.shiftrightunsigned(value, at).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)).cast("int")
+                for at in range(0, bits, DIGIT_BITS)]
         if spread[f"null{i}"]:
             out.append(F.col(column).isNull().cast("int"))
     return out
