@@ -7,6 +7,7 @@ from tessera.llm import (
     decontaminate,
     language,
     licenses,
+    multipack,
     packing,
     quality,
     resampling,
@@ -79,3 +80,8 @@ def op8_toxicity(spark, sf_dir):
 @query
 def op13_resampling(spark, sf_dir):
     return resampling.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_multipack(spark, sf_dir):
+    return multipack.multi_length_pack(table(spark, sf_dir, "documents"))
