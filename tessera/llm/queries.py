@@ -4,6 +4,7 @@ from __future__ import annotations
 
 
 from tessera.llm import (
+    conversations,
     decontaminate,
     language,
     licenses,
@@ -85,3 +86,8 @@ def op13_resampling(spark, sf_dir):
 @query
 def op12_multipack(spark, sf_dir):
     return multipack.multi_length_pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_conversations(spark, sf_dir):
+    return conversations.repaired_conversations(table(spark, sf_dir, "conversations"))
