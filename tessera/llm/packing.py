@@ -5,9 +5,12 @@ documents: lengths in descending order fill the tightest open sequences, whole
 runs of equal sequences at a time.  It has at most ``size`` lengths as input
 and a few rows per length as output, so it is small at any corpus size.  Pieces
 then take their planned slot by joining on their rank within their length.
-Ranks are counted per (length, salt), so one length may hold any share of rows.
+Ranks are counted per (length, run of rows), so one length may hold any share
+of the rows.  Pieces of the full size are sequences as they are.
 
-Null and empty texts are one piece holding the end id.  Repeated rows get slots of their own.  Only doc_id and text are read.
+Null and empty texts are one piece holding the end id.  Repeated rows get slots
+of their own.  Very long texts are encoded one at a time.  An empty table gives
+an empty result.  Only doc_id and text are read, so extra columns cannot clash.
 """
 
 from __future__ import annotations
@@ -18,74 +21,37 @@ from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import stored
+from tessera.llm.tokens import worker_encoder
 
-SALTS = 256
+ROWS_BITS = 20  # rows ranked together: 2**20 of one length at most
 BATCH = 64
-MEMO = 1 << 19  # words whose ids a task remembers
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordIds:
-    """Token ids of texts, each word encoded once by the tokenizer.
-
-    For a tokenizer that drops white space and takes no token across it, as the
-    default does, a text's ids are those of its parts between blanks, tabs and
-    line ends (other white space stays inside a part and is left to the tokenizer).
-    """
-
-    def __init__(self, tokenizer):
-        self.tokenizer, self.memo = tokenizer, {"": b""}
-
-    def _learn(self, fresh: list[str]) -> None:
-        """Encode the words in one text; a token is of the word that its first character is in."""
-        e = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
-        ends = np.cumsum([len(w) + 1 for w in fresh])
-        ids, at = np.array(e.ids, "<u4").tobytes(), np.array([x for x, _ in e.offsets], np.int64)
-        last = 0
-        for w, k in zip(fresh, (4 * np.searchsorted(at, ends)).tolist(), strict=True):
-            self.memo[w] = ids[last:k]
-            last = k
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        parts = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        fresh = set().union(*parts).difference(self.memo)
-        if fresh:
-            self._learn(list(fresh))
-        out = [np.frombuffer(b"".join(map(self.memo.__getitem__, p)), "<u4") for p in parts]
-        if len(self.memo) > MEMO:
-            self.memo = {"": b""}
-        return out
-
-
 def tokenized(docs: DataFrame, tokenizer: str, size: int, end_id: int, by_word: bool = True) -> DataFrame:
     """One row per piece; ids are not kept beyond their checksum.
 
-    ``by_word`` is for tokenizers as in WordIds; without it whole texts are encoded.
+    ``by_word`` is for tokenizers as in tokens.py; without it whole texts are encoded.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
-        import public_tokenizers
-        from tokenizers import Tokenizer
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        t = Tokenizer.from_file(public_tokenizers.path(tokenizer) if "/" not in tokenizer else tokenizer)
-        whole = lambda texts: [np.array(e.ids, "<u4") for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
-        encode = WordIds(t) if by_word else whole
-        for b in batches:
-            for at in range(0, len(b), BATCH):
-                part, rows = b.iloc[at:at + BATCH], []
-                for doc, own in zip(part["doc_id"], encode(part["text"].tolist()), strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, names = worker_encoder(tokenizer, by_word), [c.split()[0] for c in PIECE.split(", ")]
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        for batch in batches:
+            ids_, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for at in range(0, len(texts), BATCH):
+                rows = []
+                for doc, own in zip(ids_[at:at + BATCH], encode(texts[at:at + BATCH]), strict=True):
                     ids = np.append(own, np.array([end_id], "<u4"))
-                    rows += [(None if pd.isna(doc) else int(doc), k, s, len(ids[s:s + size]), zlib.crc32(ids[s:s + size].tobytes()))
+                    rows += [(doc, k, s, len(ids[s:s + size]), zlib.crc32(ids[s:s + size].tobytes()))
                              for k, s in enumerate(range(0, len(ids), size))]
-                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return docs.select("doc_id", "text").mapInPandas(run, PIECE)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECE)
 
 
 def plan(histogram: dict[int, int], size: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -137,18 +103,21 @@ def best_fit_pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", size: i
                   by_word: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).alias("salt")
-    pieces = stored(tokenized(docs, tokenizer, size, end_id, by_word), "pieces").select("*", salt)
-    counts = pieces.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    pieces = stored(tokenized(docs, tokenizer, size, end_id, by_word).withColumn("at_row", F.monotonically_increasing_id()), "pieces")
+    parts = pieces.where(F.col("length") < size).withColumn("run", F.shiftright("at_row", ROWS_BITS))
+    counts = parts.groupBy("length", "run").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("length", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `size` rows
-    slots = spark.createDataFrame(plan(histogram, size), "length long, r0 long, r1 long, first long, each long, at long")
-    own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = (pieces.withColumn("k", F.row_number().over(own) - 1).join(starts, ["length", "salt"])
+    rows = plan(histogram, size)
+    slots = spark.createDataFrame(rows, "length long, r0 long, r1 long, first long, each long, at long")
+    own = Window.partitionBy("length", "run").orderBy("at_row")
+    ranked = (parts.withColumn("k", F.row_number().over(own) - 1).join(starts, ["length", "run"])
               .withColumn("rank", F.col("base") + F.col("k")))
     placed = ranked.join(F.broadcast(slots), "length").where("rank >= r0 and rank < r1")
     nth = F.col("rank") - F.col("r0")
-    return placed.select("doc_id", "piece", "start", "length", "ids_crc32",
-                         (F.col("first") + F.floor(nth / F.col("each"))).cast("long").alias("sequence_id"),
-                         (F.col("at") + nth % F.col("each") * F.col("length")).cast("long").alias("offset"))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    opened = max((first + -(-(r1 - r0) // each) for _, r0, r1, first, each, _ in rows), default=0)
+    whole = pieces.where(F.col("length") == size).select(*columns, (F.col("at_row") + opened).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return placed.select(*columns, (F.col("first") + F.floor(nth / F.col("each"))).cast("long").alias("sequence_id"),
+                         (F.col("at") + nth % F.col("each") * F.col("length")).cast("long").alias("offset")).unionByName(whole)
