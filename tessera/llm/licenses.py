@@ -8,7 +8,7 @@ every bigram on one diagonal; another template may lack a number of bigrams set
 by its length (``may_lose``), but not the words that tell its license.
 Votes are bit masks, so repeated rows change nothing.  A row is told by
 (doc_id, hash of text); null ids and texts have one result each, null text
-counts as empty.  Only hits are shuffled.
+counts as empty.  Only hits and one light row per text are shuffled.
 """
 
 from __future__ import annotations
@@ -85,32 +85,35 @@ def template_rules(spark, min_share: float) -> DataFrame:
 
 
 def license_scan(docs: DataFrame, min_share: float = 0.8, max_gap: int = 2) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, from one scan of the texts."""
+    spark, key = docs.sparkSession, ["doc_id", "_t", "template", "base", "diag"]
     read = docs.select("doc_id", F.xxhash64("text").alias("_t"), words(ascii_lower(F.col("text")), ALNUM_WORD).alias("_w"))
     # Every template needs a word of its first group, so a text without any of them has no span.
     first = sorted({x for *_, groups in templates() for x in groups[0]})
-    held = read.where(F.arrays_overlap("_w", F.array(*map(F.lit, first))))
-    grams = held.select("doc_id", "_t", F.posexplode(F.expr("zip_with(_w, slice(_w, 2, size(_w)), (a, b) -> concat(a, ' ', b))")).alias("pos", "g"))
-    hits = (grams.withColumn("h", F.xxhash64("g"))
-            .join(F.broadcast(template_rows(docs.sparkSession)), "h").where("g = gram")
-            .select("doc_id", "_t", "template", "base", "tpos", (F.col("pos") - F.col("tpos")).alias("diag")))
-    key = ["doc_id", "_t", "template", "base"]
-    votes = hits.groupBy(*key, "diag").agg(F.bit_or(F.expr("shiftleft(1L, tpos)")).alias("mask"))
+    pairs = F.when(F.arrays_overlap("_w", F.array(*map(F.lit, first))), F.expr("zip_with(_w, slice(_w, 2, size(_w)), (a, b) -> concat(a, ' ', b))"))
+    # Element 0 stands for the row itself, so that rows without a hit, and every row's length, come along.
+    grams = (read.select("doc_id", "_t", F.size("_w").cast("long").alias("n_words"),
+                         F.concat(F.array(F.lit(None).cast("string")), F.coalesce(pairs, F.array().cast("array<string>"))).alias("_g"))
+             .select("doc_id", "_t", "n_words", F.posexplode("_g").alias("pos", "g")).withColumn("h", F.xxhash64("g")))
+    known = template_rows(spark).withColumnRenamed("h", "_h")
+    hits = grams.join(F.broadcast(known), (F.col("h") == F.col("_h")) & (F.col("g") == F.col("gram")), "left").where("pos = 0 or gram is not null")
+    diag = F.col("pos") - 1 - F.col("tpos")
     # Neighbouring diagonals of a longer template (a word put in or left out) vote together.
-    near = votes.where("not base").select("*", F.explode(F.sequence(F.col("diag") - max_gap, F.col("diag") + max_gap)).alias("at"))
-    merged = near.groupBy(*key, "at").agg(F.bit_or("mask").alias("mask")).withColumnRenamed("at", "diag")
-    spans = (votes.where("base").unionByName(merged).join(F.broadcast(template_rules(docs.sparkSession, min_share)), "template")
-             .withColumn("share", F.bit_count("mask") / F.col("n_grams"))
-             .where((F.col("n_grams") - F.bit_count("mask") <= F.col("lost")) & F.forall("needs", lambda x: F.col("mask").bitwiseAND(x) != 0)))
+    at = F.when(F.col("base"), F.array(diag)).when(~F.col("base"), F.sequence(diag - max_gap, diag + max_gap)).otherwise(F.array(F.lit(None).cast("int")))
+    votes = (hits.select("doc_id", "_t", "template", "base", "n_words", F.explode(at).alias("diag"), F.expr("shiftleft(1L, tpos)").alias("bit"))
+             .groupBy(*key).agg(F.bit_or("bit").alias("mask"), F.max("n_words").alias("n_words"), F.count("*").alias("n")))
+    rules = template_rules(spark, min_share)
+    spans = (votes.join(F.broadcast(rules), "template", "left").withColumn("share", F.bit_count("mask") / F.col("n_grams"))
+             .where(F.col("template").isNull() | ((F.col("n_grams") - F.bit_count("mask") <= F.col("lost"))
+                                                  & F.forall("needs", lambda x: F.col("mask").bitwiseAND(x) != 0))))
+    row = F.col("template").isNull()
     found = spans.groupBy("doc_id", "_t").agg(
+        F.max(F.when(row, F.col("n_words"))).alias("n_words"),
         F.count_if("base").alias("n_base"),
         F.min(F.when(F.col("base"), F.col("diag"))).cast("long").alias("first_word"),
         F.max(F.when(F.col("base"), F.col("diag"))).cast("long").alias("last_word"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("base"), F.col("label")))), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"),
-        F.max("share").alias("score")).withColumnsRenamed({"doc_id": "_d", "_t": "_h"})
-    left = read.select("doc_id", "_t", F.size("_w").cast("long").alias("n_words"))
-    out = left.join(found, left.doc_id.eqNullSafe(found._d) & (left._t == found._h), "left")
-    zero = {"n_base": F.lit(0), "base_labels": F.lit(""), "labels": F.lit(""), "score": F.lit(0.0)}
-    return out.select("doc_id", "n_words", F.coalesce("n_base", zero["n_base"]).cast("long").alias("n_base"), "first_word", "last_word",
-                      *(F.coalesce(k, zero[k]).alias(k) for k in ("base_labels", "labels", "score")))
+        F.coalesce(F.max("share"), F.lit(0.0)).alias("score"), F.max(F.when(row, F.col("n"))).alias("rows"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+                        F.explode(F.sequence(F.lit(1), "rows"))).drop("col")  # repeated rows have a result each
