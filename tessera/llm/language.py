@@ -5,9 +5,10 @@ code length is the sum over its bytes of the exact cost under that language,
 with method C escapes to shorter contexts and a uniform order -1.  The shortest
 code wins (ties: the first name in order).  Texts are lower-cased first.
 
-Training takes at most ``per_lang`` documents a language and ``max_bytes`` of
-each (the smallest id hashes), bounded whatever the corpus; prediction reads
-whole texts.  Bytes beyond the ``ALPHABET - 1`` most frequent share a class, so
+Training takes at most ``per_lang`` whole documents a language, those of the
+smallest id hashes: ids are picked first, then only their texts are read and
+counted by (language, context, symbol) in the tasks; counts alone reach the
+driver.  Bytes beyond the ``ALPHABET - 1`` most frequent share a class, so
 the broadcast tables have ALPHABET**3 numbers a language.
 
 Null, empty and letterless texts, or no training rows: ``und`` with score 0.
@@ -16,13 +17,15 @@ Null ids are not held out and not learned from.  Repeated rows are scored alike.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import stored
+
 ALPHABET = 128
 BLOCK = 1 << 20
 SALTS = 16
@@ -44,26 +47,61 @@ def _costs(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
     return np.where(counts > 0, -np.log2(np.maximum(counts, 1) / every), escape + shorter).astype(np.float32)
 
 
-def train(samples: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarray] | None:
-    """Names, byte classes and bits[context, symbol class, language]."""
-    if not samples:
-        return None
-    names = sorted({lang for lang, _ in samples})
-    seen = sum(np.bincount(_bytes(t), minlength=256) for _, t in samples)
+def byte_classes(seen: np.ndarray) -> np.ndarray:
+    """The class of each byte: 0 for all rare ones."""
     table = np.zeros(256, np.int64)
     frequent = [b for b in np.argsort(-seen, kind="stable")[:ALPHABET - 1] if seen[b]]
     table[frequent] = np.arange(1, len(frequent) + 1)
-    k, bits = len(frequent) + 1, []
+    return table
+
+
+def context_codes(text: str, table: np.ndarray) -> np.ndarray:
+    """Each byte with the two before it, as one number."""
+    c, k = _classes(text, table), int(table.max()) + 1
+    return (c[:-2] * k + c[1:-1]) * k + c[2:]
+
+
+def freeze(counts: dict[str, np.ndarray], table: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Names, byte classes and bits[context and symbol, language] from the counts per language."""
+    names, bits, k = sorted(counts), [], int(table.max()) + 1
     for name in names:
-        counts = np.zeros(k ** 3, np.int64)
-        for lang, text in samples:
-            if lang == name:
-                c = _classes(text, table)
-                counts += np.bincount((c[:-2] * k + c[1:-1]) * k + c[2:], minlength=k ** 3)
-        c3 = counts.reshape(k, k, k)
+        c3 = counts[name].reshape(k, k, k)
         zero = _costs(c3.sum((0, 1)), np.full(k, 8.0))
-        bits.append(_costs(c3, _costs(c3.sum(0), zero)[None]))
-    return names, table, np.stack([b.reshape(-1) for b in bits], axis=1)
+        bits.append(_costs(c3, _costs(c3.sum(0), zero)[None]).reshape(-1))
+    return names, table, np.stack(bits, axis=1)
+
+
+def train(samples: list[tuple[str, str]]) -> tuple[list[str], np.ndarray, np.ndarray] | None:
+    """The model of a few texts at hand."""
+    if not samples:
+        return None
+    table = byte_classes(sum(np.bincount(_bytes(t), minlength=256) for _, t in samples))
+    counts = {lang: np.zeros((int(table.max()) + 1) ** 3, np.int64) for lang, _ in samples}
+    for lang, text in samples:
+        counts[lang] += np.bincount(context_codes(text, table), minlength=len(counts[lang]))
+    return freeze(counts, table)
+
+
+def _counted(texts: DataFrame, codes: Callable[[str], np.ndarray]) -> DataFrame:
+    """lang, code, n over whole texts (lang, text): summed per batch before they are shuffled."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for lang, text in zip(b["lang"], b["text"], strict=True):
+                at, n = np.unique(codes(text), return_counts=True)
+                yield pd.DataFrame({"lang": lang, "code": at, "n": n})
+
+    return texts.mapInPandas(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+
+
+def train_on(texts: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray] | None:
+    """The model of a table (lang, text) of some whole documents; at most 256 + ALPHABET**3 counts a language reach the driver."""
+    seen = np.zeros(256, np.int64)
+    for r in _counted(texts, _bytes).groupBy("code").agg(F.sum("n").alias("n")).collect():
+        seen[r["code"]] = r["n"]
+    table, counts = byte_classes(seen), {}
+    for r in _counted(texts, lambda t: context_codes(t, table)).toLocalIterator():
+        counts.setdefault(r["lang"], np.zeros((int(table.max()) + 1) ** 3, np.int64))[r["code"]] = r["n"]
+    return freeze(counts, table) if counts else None
 
 
 def code_lengths(text: str, table: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -79,17 +117,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, per_lang: int = 300, max_bytes: int = 16384) -> DataFrame:
+def identify(docs: DataFrame, per_lang: int = 300) -> DataFrame:
     """doc_id, held_out, lang_pred, score."""
     spark = docs.sparkSession
     some = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # First per (lang, salt): no task gets more than SALTS * per_lang rows of a language in the end.
-    hashed = some.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, max_bytes).alias("x"))
-    hashed = hashed.withColumn("salt", F.pmod(F.xxhash64("h", "x"), F.lit(SALTS)))
-    first = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("h", "doc_id", "x"))
-    few = hashed.withColumn("k", first("lang", "salt")).where(F.col("k") <= per_lang).drop("k")
-    picked = few.withColumn("k", first("lang")).where(F.col("k") <= per_lang)
-    model = train([(r["lang"], r["x"]) for r in picked.select("lang", "x").collect()])  # at most per_lang rows a language
+    # First per (lang, salt): no task gets more than SALTS * per_lang ids of a language in the end.
+    ids = some.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct().withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)))
+    first = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("h", "doc_id"))
+    few = ids.withColumn("k", first("lang", "salt")).where(F.col("k") <= per_lang).drop("k")
+    picked = few.withColumn("k", first("lang")).where(F.col("k") <= per_lang).select("lang", "doc_id")
+    held = some.select("lang", "doc_id", "text").join(picked, ["lang", "doc_id"], "left_semi")  # of an id's rows one text
+    texts = stored(held.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text"), "training-texts")
+    model = train_on(texts)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
