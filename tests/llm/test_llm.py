@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from tessera.llm.tokens import Encoder
 from tessera.llm import (
     decontaminate,
     language,
@@ -349,7 +350,7 @@ def test_word_ids_equal_whole_text_ids(rows):
     r = random.Random(9)
     signs = ["a", "B", "'s", "'LL", "e\u0301", "\u0301", " ", "  ", "\n", "\t", "\r", "\u00a0", "\u2028", "\x1c", "\x85", "9", "<|endoftext|>", "<|end", "\u03a3", "\u0130", "\u1100\u1161", "\u65e5", "\U0001f602", "-", ".", ",", "!", ")", "\u0338", "<|startoftext|>", "\x00"]
     texts = [x[1] for x in rows] + ["".join(r.choice(signs) for _ in range(r.randint(0, 60))) for _ in range(3000)]
-    ids = packing.WordIds(t)
+    ids = Encoder(t)
     for x, got in zip(texts, ids(texts), strict=True):
         assert got.tolist() == t.encode(x or "", add_special_tokens=False).ids, repr(x)
 
