@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import clean_key
+from tessera.operators import selection
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
@@ -45,48 +46,33 @@ def clean_keys_then_dedup(df: DataFrame, key: str, renames: dict | None = None)
 
 def impute(df: DataFrame, cols: Sequence[str], strategy: str = "median",
            suffix: str = "_imputed", exact: bool = True, relative_error: float = 0.001) -> DataFrame:
-    """Fill NULL / NaN of ``cols`` into new ``<c>_imputed`` columns.
+    """Fill NULL / NaN of ``cols`` into new ``<c>_imputed`` columns of the input type.
 
-    ``strategy`` is median, mean or mode.  The exact median is the lower
-    middle value (the element of rank ceil(n/2) among non-missing values),
-    found exactly by ranking only the values inside an approximate-quantile
-    bracket (see ``tessera.operators.ids.value_at_rank_bracketed``);
-    ``exact=False`` uses ``percentile_approx`` with ``relative_error``.
-    Output columns keep the input type (an integral mean is rounded to the
-    nearest integer).  Strategy values are computed by
-    Spark jobs and applied as literals, like a fitted estimator.
+    ``strategy`` is median, mean or mode.  The exact median is the lower middle
+    value (the element of rank ceil(n/2) among non-missing values), the mode
+    the smallest of the most frequent values; both are selected from weighted
+    (value, count) pairs of all columns at once and never leave their type.
+    An integral mean is rounded to the nearest integer.  ``exact=False`` takes
+    the median from ``percentile_approx`` with ``relative_error``.  The number
+    of jobs does not depend on the number of columns.  Values found are applied
+    as literals, like a fitted estimator; a column without values stays NULL.
     """
-    from tessera.operators.ids import value_at_rank_bracketed
-
-    fills = {}
-    for c in cols:
-        dtype = df.schema[c].dataType
-        if not isinstance(dtype, T.NumericType):
-            raise TypeError(f"impute needs numeric columns, {c} is {dtype.simpleString()}")
-        present = F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-        vals = df.select(F.col(c).cast("double").alias("v")).filter(present)
-        if strategy == "mean":
-            fills[c] = vals.agg(F.avg("v")).first()[0]
-        elif strategy == "mode":
-            row = (vals.groupBy("v").count()
-                       .orderBy(F.desc("count"), F.asc("v")).first())
-            fills[c] = row[0] if row else None
-        elif strategy == "median":
-            if exact:
-                n = vals.count()
-                fills[c] = value_at_rank_bracketed(vals, "v", (n + 1) // 2, n) if n else None
-            else:
-                accuracy = max(1, int(round(1.0 / relative_error)))
-                fills[c] = vals.agg(F.percentile_approx("v", 0.5, accuracy)).first()[0]
-        else:
-            raise ValueError(f"unknown strategy {strategy}")
-    out = df
+    cols = list(cols)
     for c in cols:
-        dtype = df.schema[c].dataType
-        missing = F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
-        fill = F.lit(fills[c])
-        if isinstance(dtype, T.IntegralType) and strategy == "mean":
-            fill = F.round(fill, 0)                 # nearest integer, not truncation
-        fill = fill.cast(dtype) if fills[c] is not None else F.lit(None).cast(dtype)
-        out = out.withColumn(c + suffix, F.when(missing, fill).otherwise(F.col(c)))
-    return out
+        if not isinstance(df.schema[c].dataType, T.NumericType):
+            raise TypeError(f"impute needs numeric columns, {c} is {df.schema[c].dataType.simpleString()}")
+    if strategy == "mean":
+        fills = selection.means(df, cols)
+    elif strategy == "mode":
+        fills = selection.modes(selection.value_counts(df, cols), len(cols))
+    elif strategy == "median" and exact:
+        fills = selection.medians(selection.value_counts(df, cols), len(cols))
+    elif strategy == "median":
+        accuracy = max(1, int(round(1.0 / relative_error)))
+        fills = dict(enumerate(df.agg(*(F.percentile_approx(F.when(~selection.is_missing(df, c), F.col(c)), 0.5, accuracy).alias(str(i))
+                                        for i, c in enumerate(cols))).first()))
+    else:
+        raise ValueError(f"unknown strategy {strategy}")
+    return df.withColumns({
+        c + suffix: F.when(selection.is_missing(df, c), F.lit(fills.get(i)).cast(df.schema[c].dataType)).otherwise(F.col(c))
+        for i, c in enumerate(cols)})
