@@ -1,141 +1,171 @@
 """Nearest-place lookup: reverse geocoding against a gazetteer table.
 
-Replaces a per-row call to a geocoding service.  Distinct coordinates are
-looked up once and joined back to the rows.
-
-* Small gazetteer (row count checked): the places become one array value
-  computed by a scalar subquery (evaluated once, shipped to every task);
-  each point takes ``array_min`` of (distance, place_id, ...) structs.  No
-  shuffle of the points.
-* Large gazetteer: an exact hierarchical grid.  At cell size ``c`` each point
-  is compared with the places of its 3x3 cell block (equi-join on cell ids);
-  the winner is accepted only when it is closer than any place outside the
-  block can be.  Unresolved points move on to a coarser grid; the last level
-  is one cell spanning the globe, so every point is resolved exactly.
+Replaces a per-row call to a geocoding service by an index over the places, an
+adaptive cell tree.  Places and points are unit vectors, so there are neither
+poles nor a date line; straight-line distance orders places as distance on the
+globe does.
+
+* A cell's list holds every place that can be nearest to some point of the
+  cell.  The root is the cube around the globe and lists all places; while a list
+  is longer than ``LEAF_PLACES``, its cell is cut into smaller ones, each of
+  which keeps what it needs of that list.  All cells of a level are cut at once.
+* Let q be the place nearest to a cell's centre c and r the cell's radius.
+  Another place p can only win somewhere in the cell if ``|c-p| - |c-q| <= k r``:
+  the difference of two distances grows by at most ``k = 2 sin(w / 2)`` per unit
+  of way, where w is the angle under which p and q are seen (k is 2 at most, and
+  next to nothing for a far group of places).
+* A point takes its leaf by an equi-join on the cell and compares the places of
+  that one list, as an array expression.  Coordinates are looked up once each.
+
+The index depends on the places only.  It is written to the shared scratch
+folder, each level once; its size on disk tells Spark whether to broadcast it.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.geodist import EARTH_RADIUS_KM, haversine_km
+from tessera.functions.geodist import EARTH_RADIUS_KM
 from tessera.functions.geohash import valid_point
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import scratch_path
 
 PLACE_COLUMNS = ("place_id", "name", "admin1", "admin2")
-# Cell sizes in degrees; each divides 360 so longitude cells wrap cleanly.
-GRID_LEVELS = (0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 15.0, 30.0, 60.0, 120.0, 360.0)
-
-
-def _place_struct(dist: Column, g, cols: Sequence[str]) -> Column:
-    return F.struct(dist.alias("dist_km"), *[g[c].alias(c) for c in cols])
-
-
-def _nearest_broadcast(coords: DataFrame, places: DataFrame, lat: str, lon: str,
-                       cols: Sequence[str]) -> DataFrame:
-    # Per place (once, inside the subquery): latitude / longitude in radians
-    # and cos(latitude).  Per point (once per row): the same.  The lambda that
-    # runs per (point, place) then only evaluates the haversine term h, which
-    # orders places like the distance does; the distance is taken for the
-    # winner only.  Higher-order functions are interpreted, so fewer nodes
-    # in the lambda is what makes this path fast.
-    # sorted by place_id, so the array index breaks distance ties like place_id does
-    arr = places.select(F.array_sort(F.collect_list(F.struct(
-        F.col(cols[0]).alias("k"), F.radians("lat").alias("pr"), F.radians("lon").alias("pl"),
-        F.cos(F.radians("lat")).alias("pc"), *[F.col(c) for c in cols]))).alias("a")).scalar()
-    t = "__nb_"
-    staged = coords.select(lat, lon, arr.alias(t + "places"),
-                           F.radians(lat).alias(t + "r"), F.radians(lon).alias(t + "l"),
-                           F.cos(F.radians(lat)).alias(t + "c"))
-
-    def h(g):
-        return (F.pow(F.sin((g["pr"] - F.col(t + "r")) / 2), 2)
-                + F.col(t + "c") * g["pc"] * F.pow(F.sin((g["pl"] - F.col(t + "l")) / 2), 2))
-    best = F.array_min(F.transform(t + "places", lambda g, i: F.struct(h(g).alias("h"), i.alias("i"))))
-    picked = staged.select(lat, lon, t + "places", best.alias(t + "best"))
-    winner = F.element_at(F.col(t + "places"), F.col(t + "best.i") + 1)
-    dist = F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.sqrt(F.col(t + "best.h")), F.lit(1.0)))
-    return picked.select(lat, lon, F.when(F.col(t + "best").isNotNull(), F.struct(
-        dist.alias("dist_km"), *[winner[c].alias(c) for c in cols])).alias("place"))
-
-
-def _grid_level(coords: DataFrame, places: DataFrame, lat: str, lon: str, cols: Sequence[str],
-                c: float) -> DataFrame:
-    n_lon = max(1, int(round(360.0 / c)))
-    prow = F.floor((F.col("lat") + 90.0) / c)
-    pcol = F.pmod(F.floor((F.col("lon") + 180.0) / c), F.lit(n_lon))
-    pc = places.select(prow.alias("__ci"), pcol.alias("__cj"), F.col("lat").alias("__plat"),
-                       F.col("lon").alias("__plon"), *cols)
-    i = F.floor((F.col(lat) + 90.0) / c)
-    j = F.floor((F.col(lon) + 180.0) / c)
-    block = F.array_distinct(F.array(*[
-        F.struct((i + di).alias("ci"), F.pmod(j + dj, F.lit(n_lon)).alias("cj"))
-        for di in (-1, 0, 1) for dj in (-1, 0, 1)]))
-    pts = (coords.select(lat, lon, F.explode(block).alias("__cell"))
-                 .select(lat, lon, F.col("__cell.ci").alias("__ci"), F.col("__cell.cj").alias("__cj")))
-    cand = pts.join(pc, ["__ci", "__cj"])
-    dist = haversine_km(F.col(lat), F.col(lon), F.col("__plat"), F.col("__plon"))
-    best = cand.groupBy(lat, lon).agg(
-        F.min(F.struct(dist.alias("dist_km"), *[F.col(x) for x in cols])).alias("place"))
-    # A place outside the block differs by more than c in latitude, or by at
-    # least c in longitude inside the block's latitude band.
-    lat_bound = F.lit(EARTH_RADIUS_KM * math.radians(c))
-    if 3 * c >= 360.0:
-        bound = F.lit(float("inf"))
-    else:
-        band = F.greatest(F.abs(i * c - c - 90.0), F.abs(i * c + 2 * c - 90.0))
-        phi = F.radians(F.least(band, F.lit(90.0)))
-        lon_bound = F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.cos(phi) * F.lit(math.sin(math.radians(c) / 2)))
-        bound = F.least(lat_bound, lon_bound)
-    if c >= 360.0:
-        return best.withColumn("__ok", F.lit(True))
-    return best.withColumn("__ok", F.col("place.dist_km") < bound)
-
-
-def _nearest_grid(coords: DataFrame, places: DataFrame, lat: str, lon: str,
-                  cols: Sequence[str], levels: Sequence[float] = GRID_LEVELS) -> DataFrame:
-    ensure_checkpoint_dir(coords.sparkSession)
-    pending = coords.checkpoint(eager=True)
-    found = []
-    for k, c in enumerate(levels):
-        last = k == len(levels) - 1 or c >= 360.0
-        level = _grid_level(pending, places, lat, lon, cols, 360.0 if last else c).checkpoint(eager=True)
-        found.append(level.filter("__ok").drop("__ok"))
-        if last:
-            break
-        pending = pending.join(level.filter("__ok").select(lat, lon), [lat, lon], "left_anti") \
-                         .checkpoint(eager=True)
-        if pending.isEmpty():
-            break
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
+LEAF_PLACES = 32
+MAX_LEVEL = 16  # cells of about 200 m; lists below it are as long as they must be
+_SLACK = 1e-9  # of the globe's radius: 6 mm, for rounding
+_STEP = 2  # levels per cut: a cell gives 4 x 4 x 4 smaller ones, of which some twenty touch the globe
+_ROOT = 0
+
+
+def _vector(lat, lon) -> dict[str, Column]:
+    """The unit vector."""
+    phi, lam = F.radians(lat), F.radians(lon)
+    return {"__x": F.cos(phi) * F.cos(lam), "__y": F.cos(phi) * F.sin(lam), "__z": F.sin(phi)}
+
+
+def _cell(level: Column) -> Column:
+    """The cell of __x, __y, __z at a level: its level and its place per axis in one number."""
+    def axis(c: str) -> Column:
+        finest = F.least(F.floor((F.col(c) + 1) * 2.0 ** (MAX_LEVEL - 1)), F.lit(2 ** MAX_LEVEL - 1))
+        return F.call_function("shiftrightunsigned", F.greatest(finest, F.lit(0)).cast("long"), (F.lit(MAX_LEVEL) - level).cast("int"))
+    return _key(level, axis("__x"), axis("__y"), axis("__z"))
+
+
+def _key(level: Column, i: Column, j: Column, k: Column) -> Column:
+    out = level.cast("long")
+    for axis in (i, j, k):
+        out = out * F.lit(1 << MAX_LEVEL) + axis
     return out
 
 
+def _axes(cell: str) -> list[Column]:
+    mask = F.lit((1 << MAX_LEVEL) - 1)
+    return [F.shiftrightunsigned(F.col(cell), MAX_LEVEL * n).bitwiseAND(mask) for n in (2, 1, 0)]
+
+
+def _at_levels(df: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """The rows once per level, with ``__cell``."""
+    return df.withColumn("__level", F.explode(F.array(*map(F.lit, levels)))).withColumn("__cell", _cell(F.col("__level")))
+
+
+def _parts(cells: DataFrame, level: int) -> DataFrame:
+    """__cell, and as __part the smaller cells in it, ``_STEP`` levels down, that touch the globe."""
+    n, side = 1 << _STEP, 2.0 ** (1 - level - _STEP)
+    offsets = F.array(*(F.array(*map(F.lit, (a, b, c))) for a in range(n) for b in range(n) for c in range(n)))
+    parts = cells.select("__cell", F.explode(offsets).alias("__o"))
+    axes = [a * n + F.col("__o")[k] for k, a in enumerate(_axes("__cell"))]
+    nearest, farthest = F.lit(0.0), F.lit(0.0)
+    for axis in axes:
+        lo, hi = axis * side - 1, (axis + 1) * side - 1
+        nearest += F.pow(F.greatest(lo, -hi, F.lit(0.0)), 2)
+        farthest += F.pow(F.greatest(F.abs(lo), F.abs(hi)), 2)
+    return parts.where((nearest <= 1 + _SLACK) & (farthest >= 1 - _SLACK)).select("__cell", _key(F.lit(level + _STEP), *axes).alias("__part"))
+
+
+def _distance(a: Sequence[Column], b: Sequence[Column]) -> Column:
+    return F.sqrt(sum((F.pow(x - y, 2) for x, y in zip(a, b, strict=True)), F.lit(0.0)))
+
+
+def _cut(rows: DataFrame, long: DataFrame, level: int) -> DataFrame:
+    """The lists of the parts of the cells in ``long``, from those cells' lists."""
+    side = 2.0 ** (1 - level - _STEP)
+    radius = side * math.sqrt(3) / 2
+    own = [F.col(c) for c in ("__x", "__y", "__z")]
+    inside = rows.join(_parts(long, level), "__cell").drop("__cell").withColumnRenamed("__part", "__cell")
+    inside = inside.withColumn("__d", _distance(own, [(a + 0.5) * side - 1 for a in _axes("__cell")]))
+    first = inside.groupBy("__cell").agg(F.min(F.struct("__d", *own)).alias("__q"))
+    clear = F.col("__q.__d") - radius  # the least distance between q and a point of the cell
+    between = _distance(own, [F.col(f"__q.{c}") for c in ("__x", "__y", "__z")])
+    # sin w <= |p-q| / |x-q| and 2 sin(w / 2) <= sqrt(2) sin w, as long as p is nearer to q than any point of the cell is
+    growth = F.when(between < clear, F.least(F.lit(2.0), math.sqrt(2) * between / clear)).otherwise(2.0)
+    return (inside.join(first, "__cell").where(F.col("__d") - F.col("__q.__d") <= growth * radius + _SLACK)
+            .select(*rows.columns))
+
+
+def place_index(places: DataFrame, lat: str = "lat", lon: str = "lon", cols: Sequence[str] = PLACE_COLUMNS,
+                leaf_places: int = LEAF_PLACES) -> tuple[DataFrame, list[int]]:
+    """The index of the places with a valid coordinate: (__cell, __list) rows, and its levels.
+
+    Of places with one coordinate only the one with the smallest ``cols[0]`` can win, so it alone is listed.
+    """
+    spark = places.sparkSession
+    rest = [c for c in cols[1:] if c not in (lat, lon)]
+    one = (places.where(valid_point(lat, lon)).groupBy(F.col(lat).cast("double").alias("__lat"), F.col(lon).cast("double").alias("__lon"))
+           .agg(F.min(F.struct(F.col(cols[0]), *rest)).alias("__row")).withColumns(_vector("__lat", "__lon")))
+    rows, level, leaves = one.withColumn("__cell", F.lit(_ROOT).cast("long")), 0, []
+    while True:
+        path = scratch_path(spark, "place-cells")
+        rows.write.parquet(path)
+        rows = spark.read.schema(rows.schema).parquet(path)
+        long = rows.groupBy("__cell").agg(F.count("*").alias("n")).where(F.col("n") > leaf_places).select("__cell")
+        if level == MAX_LEVEL or long.isEmpty():
+            leaves.append(rows)
+            break
+        leaves.append(rows.join(long, "__cell", "left_anti"))
+        rows, level = _cut(rows, long, level), level + _STEP
+    rows = reduce(DataFrame.unionByName, leaves)
+    entry = F.struct(F.col(f"__row.{cols[0]}").alias("k"), F.radians("__lat").alias("pr"), F.radians("__lon").alias("pl"),
+                     F.cos(F.radians("__lat")).alias("pc"), F.col("__row").alias("row"))
+    # sorted by place, so that its place in the list breaks ties as its id does
+    lists = rows.groupBy("__cell").agg(F.array_sort(F.collect_list(entry)).alias("__list"))
+    path = scratch_path(spark, "place-index")
+    lists.write.parquet(path)
+    return spark.read.schema(lists.schema).parquet(path), list(range(0, level + 1, _STEP))
+
+
+def _nearest(coords: DataFrame, places: DataFrame, lat: str, lon: str, cols: Sequence[str], leaf_places: int) -> DataFrame:
+    index, levels = place_index(places, cols=cols, leaf_places=leaf_places)
+    r, lam = F.radians(lat), F.radians(lon)
+    cells = _at_levels(coords.withColumns(_vector(lat, lon)), levels) if levels != [0] else coords.withColumn("__cell", F.lit(_ROOT).cast("long"))
+    met = cells.select(lat, lon, "__cell").join(index, "__cell").select(
+        lat, lon, "__list", r.alias("__r"), lam.alias("__l"), F.cos(r).alias("__c"))
+
+    def h(g):  # grows with the distance; the distance itself is taken for the winner only
+        return F.pow(F.sin((g["pr"] - F.col("__r")) / 2), 2) + F.col("__c") * g["pc"] * F.pow(F.sin((g["pl"] - F.col("__l")) / 2), 2)
+
+    best = F.array_min(F.transform("__list", lambda g, i: F.struct(h(g).alias("h"), i.alias("i"))))
+    picked = met.select(lat, lon, "__list", best.alias("__best"))
+    winner = F.element_at(F.col("__list"), F.col("__best.i") + 1)["row"]
+    dist = F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.sqrt(F.col("__best.h")), F.lit(1.0)))
+    return picked.select(lat, lon, F.struct(dist.alias("dist_km"), *[winner[c].alias(c) for c in cols]).alias("place"))
+
+
 def nearest_place(points: DataFrame, places: DataFrame, lat: str, lon: str,
-                  cols: Sequence[str] = PLACE_COLUMNS, out: str = "place",
-                  method: str = "grid") -> DataFrame:
+                  cols: Sequence[str] = PLACE_COLUMNS, out: str = "place", leaf_places: int = LEAF_PLACES) -> DataFrame:
     """Add ``out`` = struct(dist_km, place_id, name, admin1, admin2) of the nearest place.
 
     ``places`` needs ``lat``, ``lon`` and ``cols``.  Ties on distance go to the
-    smallest ``place_id``.  Rows with a NULL or NaN coordinate get NULL.
-    Places without a valid coordinate are never chosen.  The grid is the
-    algorithm at every size; ``"broadcast"`` is the plain form for comparison.
+    smallest ``place_id``.  Rows with a NULL or NaN coordinate, and all rows
+    when there is no place, get NULL.  Places without a valid coordinate are
+    never chosen.
     """
-    cols = list(cols)
     coords = points.select(lat, lon).filter(valid_point(lat, lon)).distinct()
-    places = places.filter(valid_point("lat", "lon"))
-    if method == "broadcast":
-        found = _nearest_broadcast(coords, places, lat, lon, cols)
-    elif method == "grid":
-        found = _nearest_grid(coords, places, lat, lon, cols)
-    else:
-        raise ValueError(f"unknown method {method}")
+    found = _nearest(coords, places, lat, lon, list(cols), leaf_places)
     return points.join(found.withColumnRenamed("place", out), [lat, lon], "left")
 
 
@@ -150,7 +180,7 @@ def with_address(points: DataFrame, places: DataFrame, lat: str, lon: str, out:
 
 
 def reverse_geocode_struct(points: DataFrame, places: DataFrame, lat: str, lon: str, **kw) -> DataFrame:
-    """The reference's flattened form: City_Town, State, District columns."""
+    """The flattened form: City_Town, State, District columns."""
     res = nearest_place(points, places, lat, lon, out="__place", **kw)
     return (res.withColumn("City_Town", F.col("__place.name"))
                .withColumn("State", F.col("__place.admin1"))
