@@ -3,16 +3,17 @@
 ``row_number()`` over an un-partitioned window moves every row into a single
 partition.  Instead:
 
-1. range-partition on the full order (the order columns, then every other
-   column as a tie-breaker, so even one hot key value is split across
-   partitions);
-2. tag each row with its range partition and cut the lineage with a
-   reliable ``checkpoint()`` into the shared checkpoint folder, so a lost
-   executor can never re-sample different range bounds;
+1. give every row a number of its own and fix it by a reliable ``checkpoint()``
+   into the shared checkpoint folder: it is the last key of the order, so even
+   rows equal in every column can lie in different partitions;
+2. range-partition on the full order (the order columns, then every other
+   column, then the row's number) into as many partitions as the input has, sort
+   each, tag each row with its partition and its place there, and cut the
+   lineage again, so a lost executor can never re-sample different range bounds;
 3. count rows per range partition (a tiny table, one row per partition) and
    prefix-sum it into offsets, broadcast back (size bounded by the partition
    count);
-4. id = offset of the partition + position inside the sorted partition.
+4. id = offset of the partition + place inside the partition.
 
 There is one range shuffle, no hash shuffle, and every task handles one
 range partition.
@@ -54,6 +55,20 @@ def _sort_keys(df: DataFrame, order: Sequence, descending: bool) -> list[Column]
     return keys
 
 
+def range_sorted(df: DataFrame, order: Sequence, descending: bool = False, partitions: int | None = None) -> DataFrame:
+    """The rows in range partitions by ``order``, then the other columns, each sorted, with ``__part`` and ``__pos``.
+
+    The caller cuts the lineage before it uses the partitions a second time.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    numbered = df.withColumn("__row", F.monotonically_increasing_id()).checkpoint()
+    keys = [*_sort_keys(df, order, descending), F.col("__row")]
+    n = partitions or max(1, numbered.rdd.getNumPartitions())  # of a checkpoint: known without a job
+    return (numbered.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+            .withColumn("__part", F.spark_partition_id())
+            .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(F.col("__part").cast("long"), 33)).drop("__row"))
+
+
 def with_sequential_id(df: DataFrame, order: Sequence, out: str = "id",
                        prefix: str | None = None, partitions: int | None = None,
                        descending: bool = False) -> DataFrame:
@@ -62,25 +77,12 @@ def with_sequential_id(df: DataFrame, order: Sequence, out: str = "id",
     ``prefix="s"`` gives text ids ``s1, s2, ...`` like
     ``concat('s', row_number() over (order by ...))``.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    # range partitions: ``partitions`` or the session's shuffle partition count
-    # (size it to the data; df.rdd.getNumPartitions() would run any shuffle
-    # stages of the input once just to learn the count)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = _sort_keys(df, order, descending)
-    t = "__seq_"
-    tagged = (df.repartitionByRange(n, *keys)
-                .withColumn(t + "part", F.spark_partition_id())
-                .checkpoint(eager=True))
-    sizes = tagged.groupBy(t + "part").agg(F.count(F.lit(1)).alias(t + "n"))
-    w = Window.orderBy(t + "part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(t + "part", F.coalesce(F.sum(t + "n").over(w), F.lit(0)).alias(t + "off"))
-    local = (tagged.sortWithinPartitions(*keys)
-                   .withColumn(t + "pos", F.monotonically_increasing_id()
-                               - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    numbered = local.join(F.broadcast(offsets), t + "part")
-    seq = F.col(t + "off") + F.col(t + "pos") + F.lit(1)
+    tagged = range_sorted(df, order, descending, partitions).checkpoint()
+    sizes = tagged.groupBy("__part").agg(F.count("*").alias("__n"))
+    w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    numbered = tagged.join(F.broadcast(offsets), "__part")
+    seq = F.col("__off") + F.col("__pos") + F.lit(1)
     value = F.concat(F.lit(prefix), seq.cast("string")) if prefix is not None else seq
     cols = [c for c in df.columns if c != out]
     return numbered.select(value.alias(out), *cols)
