@@ -27,3 +27,9 @@ def cast_columns(df: DataFrame, types: dict[str, str], lenient: bool = False) ->
             raise KeyError(f"no column {c}")
         out = out.withColumn(c, F.col(c).try_cast(t) if lenient else F.col(c).cast(t))
     return out
+
+
+def rebalance(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of one key together in partitions of like size (``REBALANCE``): their number follows the
+    data at run time, small ones are joined and a key with much of the data takes several."""
+    return df.hint("rebalance", *keys)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.operators.clean import clean_keys_then_dedup
 
@@ -14,25 +13,16 @@ ASSET_RENAMES = {"dlr_region": "Region", "dlr_state": "State",
                  "dlr_org_city": "City", "dlr_district": "District"}
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Size check before a broadcast hint: stops reading after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def prepare_assets(assets: DataFrame, key: str = "asset_number") -> DataFrame:
     """Project, rename, clean keys (tabs too), then deduplicate on the clean key."""
     return clean_keys_then_dedup(assets.select(*ASSET_COLUMNS), key, ASSET_RENAMES)
 
 
-def enrich_left(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                broadcast_max_rows: int | None = None) -> DataFrame:
+def enrich_left(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Left join keeping every fact row; both key columns stay.
 
-    Without ``broadcast_max_rows`` the strategy is Spark's: a broadcast when
-    the dimension's estimated size is under the threshold (re-checked at run
-    time by AQE), else a sort-merge join that AQE splits on skewed keys.  With
-    it, the dimension is broadcast only after a row-count check.
+    The strategy is Spark's: a broadcast when the dimension's size is under the
+    threshold (re-checked at run time by AQE), else a sort-merge join that AQE
+    splits on skewed keys, or a join without exchange of bucketed tables.
     """
-    if broadcast_max_rows is not None and fits_broadcast(dim, broadcast_max_rows):
-        dim = F.broadcast(dim)
     return fact.join(dim, fact[fact_key] == dim[dim_key], "left")

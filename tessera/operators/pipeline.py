@@ -7,7 +7,7 @@ exact-key heatmap aggregate -> text date.  No Python worker anywhere.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.timefmt import month_name, parse_event_time
@@ -15,6 +15,8 @@ from tessera.operators.enrich import enrich_left, prepare_assets
 from tessera.functions.text import coordinate_text
 from tessera.operators.geo import drop_invalid_points, with_geohash
 from tessera.operators.heatmap import exact_key_counts
+from tessera.sources.readers import read_partition_range
+from tessera.sources.sinks import external_table, write_parquet
 
 # Telemetry columns kept by the reference, and its heatmap key.
 TELEMETRY_COLUMNS = ["vehicleId", "eventDateTime", "gpsLatitude", "gpslongitude",
@@ -43,10 +45,10 @@ def prepare_telemetry(tel: DataFrame, extra: list[str] | None = None, valid_only
 
 
 def enrich_telemetry(tel: DataFrame, assets: DataFrame, extra: list[str] | None = None,
-                     broadcast_max_rows: int | None = None, valid_only: bool = False) -> DataFrame:
+                     valid_only: bool = False) -> DataFrame:
     """Prepared telemetry left-joined with the cleaned, deduplicated asset dimension."""
     return enrich_left(prepare_telemetry(tel, extra, valid_only), prepare_assets(assets),
-                       "vehicleId", "asset_number", broadcast_max_rows)
+                       "vehicleId", "asset_number")
 
 
 def heatmap_table(enriched: DataFrame, already_valid: bool = False) -> DataFrame:
@@ -58,19 +60,17 @@ def heatmap_table(enriched: DataFrame, already_valid: bool = False) -> DataFrame
     # same rows as drop_invalid_cells(enriched, "Latitude", "Longitude"), but
     # on the raw coordinates
     valid = enriched if already_valid else drop_invalid_points(enriched, "gpsLatitude", "gpslongitude", 7)
-    source = {"LOB": "lob", "PL": "pl", "PPL": "ppl"}
-    keyed = valid.select(*[F.col(source.get(c, c)).alias(c) for c in HEATMAP_KEYS])
+    keyed = valid.select(*[F.col(ASSET_KEYS.get(c, c)).alias(c) for c in HEATMAP_KEYS])
     out = exact_key_counts(keyed, HEATMAP_KEYS, "vehicleId", "VinCount")
     return out.withColumn("eventdate_1", F.col("eventDateTime").cast("string"))
 
 
-# Heatmap keys that come from the telemetry itself (the rest come from the asset).
-TELEMETRY_KEYS = ["geohash_7", "geohash_5", "vehicleId", "Latitude", "Longitude", "eventMonth",
-                  "eventDateTime", "rashturning", "overspeeding", "harshacceleration", "harshbrake"]
+# Heatmap keys that come from the asset; the rest come from the telemetry itself.
+ASSET_KEYS = {"LOB": "lob", "PL": "pl", "PPL": "ppl", "Region": "Region", "State": "State", "City": "City", "District": "District"}
+TELEMETRY_KEYS = [k for k in HEATMAP_KEYS if k not in ASSET_KEYS]
 
 
-def heatmap_from_telemetry(tel: DataFrame, assets: DataFrame,
-                           broadcast_max_rows: int | None = None) -> DataFrame:
+def heatmap_from_telemetry(tel: DataFrame, assets: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Same rows as ``heatmap_table(enrich_telemetry(tel, assets, valid_only=True), True)``,
     with the deduplication moved before the join.
 
@@ -78,12 +78,24 @@ def heatmap_from_telemetry(tel: DataFrame, assets: DataFrame,
     asset columns are a function of ``vehicleId`` and deduplicating on the
     telemetry keys first loses nothing; the join then sees one row per
     distinct telemetry key instead of every event (map-side partial dedup,
-    then a smaller join input).
+    then a smaller join input).  ``extra`` telemetry columns join the key.
     """
-    prepared = prepare_telemetry(tel, valid_only=True).select(*TELEMETRY_KEYS)
-    distinct = prepared.dropDuplicates(TELEMETRY_KEYS)
-    joined = enrich_left(distinct, prepare_assets(assets), "vehicleId", "asset_number", broadcast_max_rows)
-    source = {"LOB": "lob", "PL": "pl", "PPL": "ppl"}
-    keyed = joined.select(*[F.col(source.get(c, c)).alias(c) for c in HEATMAP_KEYS])
+    distinct = prepare_telemetry(tel, list(extra), valid_only=True).select(*TELEMETRY_KEYS, *extra).distinct()
+    joined = enrich_left(distinct, prepare_assets(assets), "vehicleId", "asset_number")
+    keyed = joined.select(*[F.col(ASSET_KEYS.get(c, c)).alias(c) for c in HEATMAP_KEYS], *extra)
     return (keyed.withColumn("VinCount", F.when(F.col("vehicleId").isNull(), 0).otherwise(1).cast("long"))
                  .withColumn("eventdate_1", F.col("eventDateTime").cast("string")))
+
+
+def heatmap_job(spark: SparkSession, source: str, start: str, end: str, assets: DataFrame, path: str, table: str,
+                column: str = "eventdate") -> DataFrame:
+    """From a range of daily telemetry partitions to the external table ``table`` over ``path``; returns the table.
+
+    Only the days of the range are read, and only the days that are written are
+    replaced (dynamic partition overwrite), so a job run again leaves the same
+    table and other days alone.  A day of the range without any valid row keeps
+    what the table held for it.
+    """
+    days = read_partition_range(spark, source, column, start, end)
+    write_parquet(heatmap_from_telemetry(days, assets, (column,)), path, mode="overwrite", partition_by=[column], dynamic=True)
+    return external_table(spark, table, path)

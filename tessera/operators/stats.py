@@ -45,6 +45,40 @@ def describe_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     return one.select(F.inline(F.array(*rows)))
 
 
+def summary_mixed(df: DataFrame, cols: Sequence[str] | None = None, accuracy: int = 100_000) -> DataFrame:
+    """One row per column of any atomic type, from one aggregation pass.
+
+    ``n``, ``n_null``; for numbers mean, stddev (sample), min_number, q25, q50,
+    q75 (quantile states of rank error 1 / ``accuracy``) and max_number; min_text
+    and max_text for strings; min_time and max_time for dates and timestamps.
+    """
+    cols = list(cols) if cols is not None else df.columns
+    kinds = {c: df.schema[c].dataType for c in cols}
+    none = F.lit(None)
+    aggs, rows = [F.count(F.lit(1)).alias("all")], []
+    for i, c in enumerate(cols):
+        number = isinstance(kinds[c], T.NumericType)
+        text = isinstance(kinds[c], T.StringType)
+        time = isinstance(kinds[c], (T.DateType, T.TimestampType, T.TimestampNTZType))
+        aggs.append(F.count(c).alias(f"n{i}"))
+        if number:
+            x = F.col(c).cast("double")
+            aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"), F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}")]
+        if number or text or time:
+            aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
+
+        def of(name: str, kind: str, holds: bool, i=i):
+            return (F.col(f"{name}{i}") if holds else none).cast(kind)
+
+        rows.append(F.struct(
+            F.lit(c).alias("column"), F.lit(kinds[c].simpleString()).alias("type"), F.col(f"n{i}").alias("n"), (F.col("all") - F.col(f"n{i}")).alias("n_null"),
+            of("m", "double", number).alias("mean"), of("s", "double", number).alias("stddev"), of("lo", "double", number).alias("min_number"),
+            *((F.col(f"q{i}")[k] if number else none).cast("double").alias(f"q{p}") for k, p in enumerate((25, 50, 75))),
+            of("hi", "double", number).alias("max_number"), of("lo", "string", text).alias("min_text"), of("hi", "string", text).alias("max_text"),
+            of("lo", "timestamp_ntz", time).alias("min_time"), of("hi", "timestamp_ntz", time).alias("max_time")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def shape_report(df: DataFrame) -> DataFrame:
     """Schema rows (name, type, position) with the row and column counts."""
     spark = df.sparkSession

@@ -4,8 +4,8 @@
 n x (number of partitions) rows in a single task; at hundreds of thousands
 of input partitions that one task reads billions of rows.  Here the top n is
 reduced as a tree: each partition is sorted locally and cut to its first n
-rows (no shuffle), then ``coalesce`` folds ``fan_in`` partitions into one and
-the cut repeats, until at most ``fan_in`` partitions remain; the final
+rows (no shuffle), then an exchange deals them to ``fan_in`` times fewer
+partitions and the cut repeats, until at most ``fan_in`` partitions remain; the final
 ordered limit merges at most fan_in x n rows.
 """
 
@@ -40,5 +40,5 @@ def top_n(df: DataFrame, n: int, order: Sequence[str], fan_in: int = 16) -> Data
         if parts <= fan_in:
             break
         parts = -(-parts // fan_in)
-        level = level.coalesce(parts)
+        level = level.repartition(parts)  # an exchange: the scan keeps a task per split
     return level.orderBy(*keys).limit(n)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tessera.functions.text import coordinate_text
 from tessera.functions.timefmt import month_name, parse_event_time
 from tessera.operators import events as ev
+from tessera.operators.distinct_state import cell_state, exact_pairs, pair_counts, roll_up, state_counts
 from tessera.operators.geo import bounding_box, with_decoded, with_geohash
 from tessera.operators.heatmap import cell_rollup, cell_summary
-from tessera.operators.pipeline import enrich_telemetry, heatmap_from_telemetry, prepare_telemetry
+from tessera.operators.pipeline import HEATMAP_KEYS, enrich_telemetry, heatmap_from_telemetry, prepare_telemetry
 from tessera.operators.places import nearest_place
 from tessera.plans import fixtures as fx
 from tessera.plans import sqlgen as sg
@@ -99,12 +100,30 @@ def heatmap_rollup_5(spark, sf):
     return cell_rollup(_encoded(spark, sf, form="city"), "geohash_7", "geohash_5", "vehicleId")
 
 
+_FLAG_COUNTS = ", ".join(f"count(DISTINCT {f}) AS {f}_count" for f in FLAGS)
+
+
+@query("cell_flag_distincts", f"""SELECT geohash_7, substr(geohash_7, 1, 5) AS geohash_5, count(*) AS n_rows, {_FLAG_COUNTS}
+FROM ({_CITY_GH}) g GROUP BY geohash_7""")
+def cell_flag_distincts(spark, sf):
+    """Distinct values of each event column per (geohash_7, geohash_5)."""
+    return state_counts(cell_state(_encoded(spark, sf, form="city"), ["geohash_7", "geohash_5"], FLAGS))
+
+
+@query("cell_flag_distincts_5", f"""SELECT substr(geohash_7, 1, 5) AS geohash_5, count(*) AS n_rows, {_FLAG_COUNTS},
+  count(DISTINCT vehicleId) AS "vehicleId_count" FROM ({_CITY_GH}) g GROUP BY 1""")
+def cell_flag_distincts_5(spark, sf):
+    """The fine cells' states rolled up to the coarse cells; vehicles by exact pairs."""
+    enc, cells = _encoded(spark, sf, form="city"), ["geohash_7", "geohash_5"]
+    flags = state_counts(roll_up(cell_state(enc, cells, FLAGS), "geohash_5"))
+    return flags.join(pair_counts(exact_pairs(enc, cells, "vehicleId"), "geohash_5", "vehicleId"), "geohash_5", "left")
+
+
 @query("sql_cell_counts", f"""SELECT geohash_7, count(*) AS count FROM ({_CITY_GH}) g GROUP BY geohash_7""")
 def sql_cell_counts(spark, sf):
-    """The reference's SQL per-cell count, over a temp view of the encoded telemetry."""
-    _encoded(spark, sf, form="city").createOrReplaceTempView("heatmap_cells_src")
-    return spark.sql("SELECT geohash_7, COUNT(*) AS count FROM heatmap_cells_src "
-                     "GROUP BY geohash_7 ORDER BY count DESC")
+    """The reference's SQL per-cell count, over the encoded telemetry as an argument."""
+    return spark.sql("SELECT geohash_7, COUNT(*) AS count FROM {cells} GROUP BY geohash_7 ORDER BY count DESC",
+                     cells=_encoded(spark, sf, form="city"))
 
 
 # ---------------------------------------------------------------- T1 / T2 / T3
@@ -165,8 +184,9 @@ def _union_sql():
 
 @query("event_union", _union_sql())
 def event_union(spark, sf):
+    """Four labelled subsets put together; one pass, as the subsets exclude each other."""
     tel = fx.telemetry(spark, sf, "wide").select("event_id", "vehicleId", *FLAGS)
-    return ev.classify_by_union(tel).select("event_id", "vehicleId", "event_type")
+    return ev.classify_exclusive(tel).select("event_id", "vehicleId", "event_type")
 
 
 @query("event_distinct_counts", f"""SELECT vehicleId, count(DISTINCT event_type) AS n_event_types,
@@ -190,9 +210,7 @@ PIPE_ENRICHED_SQL = f"""SELECT g.event_id, g.vehicleId, try_strptime(g.eventDate
   a.asset_number, a.lob AS LOB, a.pl AS PL, a.ppl AS PPL, a.Region, a.State, a.City, a.District
 FROM ({_PIPE_GH}) g LEFT JOIN ({sg.clean_assets_sql()}) a ON g.vehicleId = a.asset_number"""
 
-_KEYS_SQL = ("geohash_7, geohash_5, vehicleId, Latitude, Longitude, eventMonth, eventDateTime, "
-             "LOB, PL, PPL, Region, State, City, District, rashturning, overspeeding, "
-             "harshacceleration, harshbrake")
+_KEYS_SQL = ", ".join(HEATMAP_KEYS)
 PIPELINE_SQL = f"""SELECT DISTINCT {_KEYS_SQL},
   CAST(CASE WHEN vehicleId IS NULL THEN 0 ELSE 1 END AS BIGINT) AS VinCount,
   CAST(eventDateTime AS VARCHAR) AS eventdate_1
