@@ -2,7 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and reread as the next stage's docs.  All but the last return the
-columns of documents.
+columns of documents, extra columns included, whatever their names.
+
+In every stage a null text counts as empty, repeated rows are rows of their own
+(near-duplicates keep one of them), a null doc_id is an id like any other and
+ties go to the smaller doc_id; an empty table gives an empty one; texts of any
+length are read whole.
 """
 
 from __future__ import annotations
@@ -15,13 +20,17 @@ from tessera.llm.common import stored, table
 
 
 def _with_text(scored: DataFrame, text: Column) -> DataFrame:
-    """The input rows with a new text, and n_chars where the text changed."""
-    changed = ~text.eqNullSafe(F.col("row.text"))
-    out = scored.select("row.*", text.alias("_new"), changed.alias("_changed"))
-    fresh = {"text": F.col("_new")}
-    if "n_chars" in out.columns:
-        fresh["n_chars"] = F.when(F.col("_changed"), F.length("_new").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumns(fresh).drop("_new", "_changed")
+    """The input rows (column ``row``) with a new text, and n_chars where the text changed."""
+    out = scored.select("row", text.alias("text"))  # two names only, so no column of the input clashes
+    changed = ~F.col("text").eqNullSafe(F.col("row.text"))
+
+    def field(name: str) -> Column:
+        own = F.col("row")[name]
+        if name == "text":
+            return F.col("text")
+        return (F.when(changed, F.length("text").cast("long")).otherwise(own) if name == "n_chars" else own).alias(name)
+
+    return out.select(*(field(name) for name in scored.schema["row"].dataType.names))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
