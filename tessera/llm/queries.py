@@ -9,6 +9,7 @@ from tessera.llm import (
     language,
     licenses,
     multipack,
+    oracles,
     packing,
     quality,
     resampling,
@@ -20,7 +21,9 @@ from tessera.llm import (
 )
 from tessera.llm.common import table
 
-QUERIES, ORACLES = {}, {}
+QUERIES = {}
+ORACLES = {"op2_suffix_dedup": oracles.SUFFIX_DEDUP, "op10_warc": oracles.WARC, "op11_conversations": oracles.CONVERSATIONS,
+           "op13_resampling": oracles.RESAMPLING}
 
 
 def query(fn):
