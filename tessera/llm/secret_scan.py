@@ -38,6 +38,7 @@ RULES = [
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 ]
 BASE = ("assign", "access", "hex")
+CHUNK, BLOCK = 128, 4096
 MIN_VALUE, MIN_ACCESS = 6, 20
 
 
@@ -81,25 +82,39 @@ def trigram_clauses(pattern: str) -> list[list[str]]:
     return sorted([sorted({s[i:i + 3] for i in range(len(s) - 2)}) for s in best])
 
 
+def _before(values: Column, zero: Column, merge) -> Column:
+    """Per element the fold of all elements before it, in two levels: chunks, then within a chunk.
+
+    An array can't grow in a fold without being copied each time, so the work would be quadratic;
+    this way it is CHUNK steps an element and a CHUNK-th of the square.
+    """
+    n = F.size(values)
+    chunks = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(n / CHUNK).cast("int") - 1, F.lit(0))), lambda k: F.slice(values, k * CHUNK + 1, F.lit(CHUNK)))
+
+    def within(part: Column, base: Column) -> Column:
+        return F.transform(part, lambda _, i: F.aggregate(F.slice(part, F.lit(1), i), base, merge))
+
+    return let(chunks, lambda parts: let(F.transform(parts, lambda x: F.aggregate(x, zero, merge)), lambda totals: F.flatten(
+        F.transform(parts, lambda x, k: let(F.aggregate(F.slice(totals, F.lit(1), k), zero, merge), lambda base: within(x, base))))))
+
+
 def _spans(text: Column, kind: str, pattern: str) -> Column:
     """Array of (start, end, order, kind): gaps between matches give the places."""
     order = [k for k, _ in RULES].index(kind)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if kind == "assign" else matches
     least = {"assign": MIN_VALUE, "access": MIN_ACCESS}.get(kind, 1)
-    fields = lambda s, e: F.struct(s.alias("s"), e.alias("e"), F.lit(order).alias("o"), F.lit(kind).alias("kind"))
     parts = F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
                          F.transform(matches, F.length).alias("len"), F.transform(value, F.length).alias("val"))
     empty = F.expr("cast(array() as array<struct<s:int,e:int,o:int,kind:string>>)")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
 
-    def step(a: Column, p: Column) -> Column:
-        s = a["at"] + p["gap"]
-        e = s + F.coalesce(p["len"], F.lit(0))
-        keep = F.coalesce(p["val"] >= least, F.lit(False))
-        return F.struct(e.alias("at"), F.when(keep, F.concat(a["out"], F.array(fields(s, e)))).otherwise(a["out"]).alias("out"))
+    def placed(parts: Column) -> Column:
+        at = _before(F.transform(parts, lambda p: p["gap"] + F.coalesce(p["len"], F.lit(0))), F.lit(0), lambda x, y: x + y)
+        kept = F.filter(F.arrays_zip(parts.alias("p"), at.alias("at")), lambda z: F.coalesce(z["p"]["val"] >= least, F.lit(False)))
+        return F.transform(kept, lambda z: F.struct((z["at"] + z["p"]["gap"]).alias("s"), (z["at"] + z["p"]["gap"] + z["p"]["len"]).alias("e"),
+                                                    F.lit(order).alias("o"), F.lit(kind).alias("kind")))
 
-    return F.when(text.rlike(pattern), F.aggregate(parts, start, step, lambda a: a["out"])).otherwise(empty)
+    return F.when(text.rlike(pattern), let(parts, placed)).otherwise(empty)
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -140,12 +155,18 @@ def digest(found: DataFrame) -> DataFrame:
 
 def redact(mark: str = "[SECRET]") -> Column:
     """The text with every span (overlaps joined) replaced by ``mark``."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        fresh = x["s"] >= a["at"]
-        gap = F.substring(F.col("text"), a["at"] + 1, x["s"] - a["at"])
-        return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(fresh, F.concat(a["out"], gap, F.lit(mark))).otherwise(a["out"]).alias("out"))
-
-    done = F.aggregate("found", start, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    return F.when(F.size("found") > 0, done).otherwise(F.col("text"))
+    def cut(blocks: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / BLOCK).cast("int")
+        near = F.array_join(F.slice(blocks, first + 1, F.floor(b / BLOCK).cast("int") - first + 1), "")
+        return F.substring(near, a - first * BLOCK + 1, b - a)
+
+    def cleaned(blocks: Column) -> Column:
+        at = _before(F.transform("found", lambda x: x["e"]), F.lit(0), lambda x, y: F.greatest(x, y))
+        pieces = F.transform(F.arrays_zip(F.col("found").alias("x"), at.alias("at")), lambda z: F.when(
+            z["x"]["s"] >= z["at"], F.concat(cut(blocks, z["at"], z["x"]["s"]), F.lit(mark))).otherwise(""))
+        last = F.array_max(F.transform("found", lambda x: x["e"]))
+        return F.concat(F.array_join(pieces, ""), cut(blocks, last, F.length("text")))
+
+    # Blocks: a place deep in a text is found without counting characters from its start.
+    blocks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.when(F.size("found") > 0, let(blocks, cleaned)).otherwise(F.col("text"))
