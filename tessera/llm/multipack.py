@@ -50,7 +50,7 @@ _PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 def _groups(texts: list, limit: int = TEXT_BYTES) -> Iterator[slice]:
-    """Slices of about ``limit`` characters; a longer text stands alone."""
+    """Slices of about ``limit`` characters; a longer text ends its slice."""
     first, held = 0, 0
     for k, t in enumerate(texts):
         held += len(t or "")

@@ -9,7 +9,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.llm import conversations, multipack, radix, resampling
 from tessera.llm.tokens import Encoder, load
