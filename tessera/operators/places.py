@@ -112,6 +112,7 @@ def place_index(places: DataFrame, lat: str = "lat", lon: str = "lon", cols: Seq
     """The index of the places with a valid coordinate: (__cell, __list) rows, and its levels.
 
     Of places with one coordinate only the one with the smallest ``cols[0]`` can win, so it alone is listed.
+    ``leaf_places`` should be 8 or more: where the areas of several places meet, no smaller cell has a shorter list.
     """
     spark = places.sparkSession
     rest = [c for c in cols[1:] if c not in (lat, lon)]
