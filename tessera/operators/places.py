@@ -15,7 +15,8 @@ globe does.
   of way, where w is the angle under which p and q are seen (k is 2 at most, and
   next to nothing for a far group of places).
 * A point takes its leaf by an equi-join on the cell and compares the places of
-  that one list, as an array expression.  Coordinates are looked up once each.
+  that one list, as an array expression.  Coordinates are looked up once each;
+  where the root's list is short already, each row compares that list at once.
 
 The index depends on the places only.  It is written to the shared scratch
 folder, each level once; its size on disk tells Spark whether to broadcast it.
@@ -120,15 +121,14 @@ def place_index(places: DataFrame, lat: str = "lat", lon: str = "lon", cols: Seq
            .agg(F.min(F.struct(F.col(cols[0]), *rest)).alias("__row")).withColumns(_vector("__lat", "__lon")))
     rows, level, leaves = one.withColumn("__cell", F.lit(_ROOT).cast("long")), 0, []
     while True:
-        path = scratch_path(spark, "place-cells")
-        rows.write.parquet(path)
-        rows = spark.read.schema(rows.schema).parquet(path)
         long = rows.groupBy("__cell").agg(F.count("*").alias("n")).where(F.col("n") > leaf_places).select("__cell")
         if level == MAX_LEVEL or long.isEmpty():
             leaves.append(rows)
             break
         leaves.append(rows.join(long, "__cell", "left_anti"))
-        rows, level = _cut(rows, long, level), level + _STEP
+        parts, path = _cut(rows, long, level), scratch_path(spark, "place-cells")
+        parts.write.parquet(path)
+        rows, level = spark.read.schema(parts.schema).parquet(path), level + _STEP
     rows = reduce(DataFrame.unionByName, leaves)
     entry = F.struct(F.col(f"__row.{cols[0]}").alias("k"), F.radians("__lat").alias("pr"), F.radians("__lon").alias("pl"),
                      F.cos(F.radians("__lat")).alias("pc"), F.col("__row").alias("row"))
@@ -139,21 +139,21 @@ def place_index(places: DataFrame, lat: str = "lat", lon: str = "lon", cols: Seq
     return spark.read.schema(lists.schema).parquet(path), list(range(0, level + 1, _STEP))
 
 
-def _nearest(coords: DataFrame, places: DataFrame, lat: str, lon: str, cols: Sequence[str], leaf_places: int) -> DataFrame:
-    index, levels = place_index(places, cols=cols, leaf_places=leaf_places)
+def _winner(df: DataFrame, lat: str, lon: str, cols: Sequence[str], out: str) -> DataFrame:
+    """``out`` from ``__list``, which then goes; null where there is no list or no valid coordinate."""
     r, lam = F.radians(lat), F.radians(lon)
-    cells = _at_levels(coords.withColumns(_vector(lat, lon)), levels) if levels != [0] else coords.withColumn("__cell", F.lit(_ROOT).cast("long"))
-    met = cells.select(lat, lon, "__cell").join(index, "__cell").select(
-        lat, lon, "__list", r.alias("__r"), lam.alias("__l"), F.cos(r).alias("__c"))
+    kept = [c for c in df.columns if c != "__list"]
+    met = df.select("*", r.alias("__r"), lam.alias("__l"), F.cos(r).alias("__c"))
 
     def h(g):  # grows with the distance; the distance itself is taken for the winner only
         return F.pow(F.sin((g["pr"] - F.col("__r")) / 2), 2) + F.col("__c") * g["pc"] * F.pow(F.sin((g["pl"] - F.col("__l")) / 2), 2)
 
     best = F.array_min(F.transform("__list", lambda g, i: F.struct(h(g).alias("h"), i.alias("i"))))
-    picked = met.select(lat, lon, "__list", best.alias("__best"))
+    picked = met.select(*kept, "__list", F.when(valid_point(lat, lon), best).alias("__best"))
     winner = F.element_at(F.col("__list"), F.col("__best.i") + 1)["row"]
     dist = F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.sqrt(F.col("__best.h")), F.lit(1.0)))
-    return picked.select(lat, lon, F.struct(dist.alias("dist_km"), *[winner[c].alias(c) for c in cols]).alias("place"))
+    place = F.struct(dist.alias("dist_km"), *[winner[c].alias(c) for c in cols])
+    return picked.select(*kept, F.when(F.col("__best").isNotNull(), place).alias(out))
 
 
 def nearest_place(points: DataFrame, places: DataFrame, lat: str, lon: str,
@@ -165,9 +165,12 @@ def nearest_place(points: DataFrame, places: DataFrame, lat: str, lon: str,
     when there is no place, get NULL.  Places without a valid coordinate are
     never chosen.
     """
+    index, levels = place_index(places, cols=cols, leaf_places=leaf_places)
+    if levels == [0]:  # the root is the only leaf: one list of at most leaf_places, for every row
+        return _winner(points.withColumn("__list", index.select("__list").scalar()), lat, lon, list(cols), out)
     coords = points.select(lat, lon).filter(valid_point(lat, lon)).distinct()
-    found = _nearest(coords, places, lat, lon, list(cols), leaf_places)
-    return points.join(found.withColumnRenamed("place", out), [lat, lon], "left")
+    met = _at_levels(coords.withColumns(_vector(lat, lon)), levels).join(index, "__cell").select(lat, lon, "__list")
+    return points.join(_winner(met, lat, lon, list(cols), out), [lat, lon], "left")
 
 
 def with_address(points: DataFrame, places: DataFrame, lat: str, lon: str, out: str = "address",
