@@ -125,7 +125,8 @@ def identify(docs: DataFrame, per_lang: int = 300) -> DataFrame:
     ids = some.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).distinct().withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)))
     first = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("h", "doc_id"))
     few = ids.withColumn("k", first("lang", "salt")).where(F.col("k") <= per_lang).drop("k")
-    picked = few.withColumn("k", first("lang")).where(F.col("k") <= per_lang).select("lang", "doc_id")
+    # Written, so that Spark knows their size and need not shuffle the texts to meet a few ids.
+    picked = stored(few.withColumn("k", first("lang")).where(F.col("k") <= per_lang).select("lang", "doc_id"), "training-ids")
     held = some.select("lang", "doc_id", "text").join(picked, ["lang", "doc_id"], "left_semi")  # of an id's rows one text
     texts = stored(held.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).select("lang", "text"), "training-texts")
     model = train_on(texts)
