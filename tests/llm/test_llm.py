@@ -2,12 +2,14 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -146,6 +148,75 @@ def test_lyndon_order_is_suffix_order():
         assert got == sorted(x[i:] for x in s for i in range(len(x)))
 
 
+def test_suffix_anchors_are_shared_and_sparse():
+    r = random.Random(3)
+    text = bytes(r.choice(b"abcdefghijklmnop") for _ in range(40000))
+    at, _ = suffix_dedup.anchors(text)
+    assert len(at) < len(text) / 15
+    inside = [text[p:p + 24] for p in at.tolist()]
+    for _ in range(300):
+        k = r.randrange(len(text) - 50)
+        own = suffix_dedup.anchors(text[k:k + 50])[0].tolist()
+        assert own and all(text[k + p:k + p + 24] in inside and k + p in at for p in own)
+
+
+def test_suffix_texts_cross_the_network_once(spark, docs, tmp_path):
+    """Packed texts are shuffled by one exchange, the other uses reuse it; nothing is written aside."""
+    aside = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(aside))
+    out = suffix_dedup.suffix_dedup(docs).drop("kept")
+    out.write.parquet(str(tmp_path / "out"))
+    assert set(os.listdir(aside)) == before
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") >= 3
+    assert len([x for x in plan.split("\n") if "Exchange hashpartitioning(t#" in x and "Reused" not in x]) <= 6
+
+
+def test_bucket_minima():
+    """Rows cut to what they share have the minima of all their strings."""
+    r = random.Random(4)
+    for _ in range(400):
+        gram = bytes(r.choice(b"ab") for _ in range(24))
+        sides = [bytes(r.choice(b"ab") for _ in range(26)) for _ in range(3)]
+        rows = []
+        for _ in range(r.randint(1, 6)):
+            a, end = r.choice([26, r.randint(0, 26)]), r.choice([26, r.randint(0, 26)])
+            x, y = bytearray(r.choice(sides)), bytearray(r.choice(sides))
+            x[r.randrange(26)] = y[r.randrange(26)] = r.choice(b"az")
+            rows.append((bytes(x)[26 - a:] + gram + bytes(y)[:end], a, r.randint(0, 5)))
+        rows = [x for x in rows if len(x[0]) >= 50]
+        least = {}
+        for s, _, i in rows:
+            for j in range(len(s) - 49):
+                least[s[j:j + 50]] = min(i, least.get(s[j:j + 50], 9))
+        assert not rows or suffix_dedup.bucket_minima(rows) == [[least[s[j:j + 50]] if j + 50 <= len(s) else None for j in range(27)] for s, _, _ in rows]
+
+
+@pytest.mark.parametrize("bucket, size", [(256, 1000), (3, 1000), (3, 1), (3, 4)])
+def test_suffix_classes_in_any_batches(monkeypatch, bucket, size):
+    """Above the smallest id of equal surroundings: gone; the firsts of an anchor under several ids ask, too many spread."""
+    monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
+    r = random.Random(6)
+    rows = sorted((h, c, r.randint(0, 3), k) for k, (h, c) in enumerate((r.randint(0, 9), r.randint(0, 4)) for _ in range(120)))
+    frame = pd.DataFrame({"t": [k for *_, k in rows], "u": 0, "id": [i for _, _, i, _ in rows], "far": [k >> 4 for *_, k in rows],
+                          "c": [c for _, c, _, _ in rows], "x": [(h << 16) | (k & 15) for h, _, _, k in rows]})
+    got = pd.concat(list(suffix_dedup._classes(iter([frame[lo:lo + size] for lo in range(0, len(frame), size)]))))
+    hit = dict(zip(got["t"], got["hit"], strict=True))
+    least, firsts = {}, defaultdict(list)
+    for h, c, i, k in rows:
+        least.setdefault((h, c), i)
+        if i == least[h, c]:
+            firsts[h].append((i, k))
+    for h, c, i, k in rows:
+        place = (k >> 4 << 16 | k & 15) << 2
+        if i > least[h, c]:
+            assert hit[k] == place + suffix_dedup.GONE
+        elif len({x for x, _ in firsts[h]}) > 1:
+            assert hit[k] == place + (suffix_dedup.SPREAD if len(firsts[h]) > bucket else suffix_dedup.ASK)
+    assert len(hit) == len(got)
+
+
 def test_language(spark, docs, rows, empty):
     got = language.identify(docs).collect()
     assert len(got) == len(rows)
