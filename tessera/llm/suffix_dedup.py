@@ -196,8 +196,25 @@ def bucket_minima(rows: list[tuple[bytes, int, int]]) -> list[list[int | None]]:
     return out
 
 
+def _above(h: np.ndarray, c: np.ndarray, i: np.ndarray) -> np.ndarray:
+    """Rows above the smallest id of their surroundings in these rows."""
+    order = np.argsort(c)
+    same = c[order][1:] == c[order][:-1]
+    at = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+    at = at[np.lexsort((i[at], c[at], h[at]))]
+    out = np.zeros(len(c), bool)
+    if len(at):
+        first = np.concatenate([[True], (h[at][1:] != h[at][:-1]) | (c[at][1:] != c[at][:-1])])
+        out[at] = i[at] > i[at][np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))]
+    return out
+
+
 def _emit_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """x: 48 bits of the anchor's hash, then the low 16 of its place; far: the place's other bits; c: hash of the surroundings."""
+    """x: 48 bits of the anchor's hash, then the low 16 of its place; far: the place's other bits; c: hash of the surroundings.
+
+    Rows known to go already, from the texts beside theirs, have only their
+    place, with far inverted: an anchor that most texts hold meets once a part.
+    """
     import xxhash
     for b in batches:
         for lo in range(0, len(b), 512):
@@ -210,8 +227,10 @@ def _emit_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 x.append((h & ~np.uint64(0xFFFF)) | (at.astype(np.uint64) & np.uint64(0xFFFF)))
                 far.append(at >> 16)
                 c += [xxhash.xxh64_intdigest(data[p - SIDE if p > SIDE else 0:p + LENGTH], min(p, SIDE)) for p in at.tolist()]
-            yield pd.DataFrame({"t": np.repeat(part["t"].to_numpy(), n), "u": np.repeat(part["u"].to_numpy(), n), "id": np.repeat(part["id"].to_numpy(), n),
-                                "far": np.concatenate(far).astype(np.int32), "c": np.array(c, np.uint64).view(np.int64), "x": np.concatenate(x).view(np.int64)})
+            x, far, c, i = np.concatenate(x).view(np.int64), np.concatenate(far).astype(np.int32), np.array(c, np.uint64).view(np.int64), np.repeat(part["id"].to_numpy(), n)
+            gone = _above(x >> 16, c, i)
+            yield pd.DataFrame({"t": np.repeat(part["t"].to_numpy(), n), "u": np.repeat(part["u"].to_numpy(), n), "id": i,
+                                "far": np.where(gone, ~far, far), "c": np.where(gone, 0, c), "x": np.where(gone, x & 0xFFFF, x)})
 
 
 def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,6 +250,9 @@ def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return firsts[begun | (by.transform("min") < by.transform("max"))]
 
     for b in batches:
+        known = b[b["far"] < 0]
+        yield known[["t", "u"]].assign(hit=(~known["far"].to_numpy().astype(np.int64) << 16 | known["x"].to_numpy()) << 2)
+        b = b[b["far"] >= 0]
         if not len(b):
             continue
         h, c, i = b["x"].to_numpy() >> 16, b["c"].to_numpy(), b["id"].to_numpy()
@@ -352,7 +374,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     packed = read.select("t", "u", "id", "text").mapInPandas(_pack, "t long, u int, id long, n int, packed binary")
     once = packed.groupBy("t", "u").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("packed").alias("packed"))
     found = once.mapInPandas(_emit_anchors, "t long, u int, id long, far int, c long, x long")
-    hits = (found.repartition(F.shiftright("x", 16)).sortWithinPartitions(F.shiftright("x", 16), "c", "id")
+    hits = (found.repartition(F.when(F.col("far") < 0, F.col("t")).otherwise(F.shiftright("x", 16))).sortWithinPartitions(F.shiftright("x", 16), "c", "id")
             .mapInPandas(_classes, "t long, u int, hit long").groupBy("t", "u").agg(F.collect_list("hit").alias("hits")))
     told = once.join(hits, ["t", "u"], "left").select("t", "u", "id", "n", "packed", "hits")
     # The strings' hashes part after the shuffle: nine of them share what their row says of the text.

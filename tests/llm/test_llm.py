@@ -217,6 +217,25 @@ def test_suffix_classes_in_any_batches(monkeypatch, bucket, size):
     assert len(hit) == len(got)
 
 
+def test_suffix_passage_of_all_texts_meets_once_a_part():
+    """Of equal surroundings in one part only the smallest id goes to the anchor's partition, the rest as places known to go."""
+    r = random.Random(8)
+    say = lambda n: bytes(r.choice(b"abcdefgh ") for _ in range(n))
+    passage = say(300)
+    texts = [say(r.randint(0, 90)) + passage + say(r.randint(0, 90)) for _ in range(200)]
+    ids = [*range(100, 200), *range(100)]
+    frame = pd.DataFrame({"t": range(200), "u": 0, "id": ids, "n": [len(x) for x in texts], "packed": [suffix_dedup._ZSTD.compress(x, asbytes=True) for x in texts]})
+    got = pd.concat(list(suffix_dedup._emit_anchors(iter([frame]))))
+    places = [(k, int(p)) for k, x in enumerate(texts) for p in suffix_dedup.anchors(x)[0]]
+    assert [(t, (f if f >= 0 else ~f) << 16 | x & 0xFFFF) for t, f, x in zip(got["t"], got["far"], got["x"], strict=True)] == places
+    around = [(k, p, texts[k][max(0, p - 26):p + 50], min(p, 26)) for k, p in places]
+    least = {}
+    for k, _, *x in around:
+        least[tuple(x)] = min(ids[k], least.get(tuple(x), 999))
+    assert (got["far"] < 0).tolist() == [ids[k] > least[tuple(x)] for k, _, *x in around]
+    assert (got["far"] < 0).sum() > 1500
+
+
 def test_language(spark, docs, rows, empty):
     got = language.identify(docs).collect()
     assert len(got) == len(rows)
